@@ -1,0 +1,3 @@
+"""Reserved. The work re-expressed here is purely batch: new deliveries are
+found with an anti-join on the file ledger (``operators.ledger.new_files``),
+so no watermark, window or keyed state is needed."""
