@@ -39,7 +39,10 @@ def line_kind(line: Column, starts=fv.SECTION_STARTS, stops=fv.SECTION_STOPS,
 
 def text_lines(df: DataFrame, content: str, *keep: str) -> DataFrame:
     """One row per line: the kept columns, ``pos`` from 0, ``line``."""
-    return df.select(*keep, F.posexplode(lines(F.col(content))).alias("pos", "line"))
+    # the outer form: for the inner one Spark adds a filter that splits the text twice
+    return df.select(
+        *keep, F.posexplode_outer(lines(F.col(content))).alias("pos", "line")
+    ).where(F.col("pos").isNotNull())
 
 
 def with_sections(
@@ -109,3 +112,10 @@ def with_sections(
         .withColumn(out, F.filter("_all", lambda s: F.length(s["text"]) >= min_chars))
         .select(*[c for c in kept if c != out], out)
     )
+
+
+def section_rows(df: DataFrame, content: str, *keep: str, **patterns) -> DataFrame:
+    """One row per section: the kept columns, ``section``, ``text``."""
+    found = with_sections(df.select(*keep, content), content, "_found", **patterns)
+    # the outer form, as in ``text_lines``: nothing is pushed into the array steps
+    return found.select(*keep, F.inline_outer("_found")).where(F.col("section").isNotNull())

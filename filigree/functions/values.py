@@ -31,7 +31,8 @@ def number(text: Column, fmt: Column, scale: Column, sign: Column) -> Column:
     )
     scaled = F.when(F.coalesce(scale, F.lit(0)) == 0, plain).otherwise(
         plain * F.pow(F.lit(10.0), scale.cast("double")))
-    return F.when(sign == "-", -scaled).otherwise(scaled)
+    # adding 0.0 turns a negative zero into zero
+    return F.when(sign == "-", F.lit(0.0) - scaled).otherwise(scaled)
 
 
 def _day(year: Column, month: Column, day: Column) -> Column:

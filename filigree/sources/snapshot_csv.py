@@ -21,7 +21,8 @@ def file_profiles(spark: SparkSession, path: str) -> DataFrame:
     file whose lines all hold an even number of quotes has no line break inside a
     field, so it can be read in splits.
     """
-    lines = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(path).select(
+    lines = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").option(
+        "recursiveFileLookup", True).text(path).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.struct(F.col("_metadata.file_block_start"),
                  F.monotonically_increasing_id()).alias("at"),
