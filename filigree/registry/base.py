@@ -31,3 +31,10 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Narrow rows over all cores before work that makes each of them large: a table
+    of one row group would otherwise be one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, df.rdd.getNumPartitions()))

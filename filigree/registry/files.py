@@ -11,7 +11,7 @@ from filigree import fixed_values as fv
 from filigree.functions import text as T
 from filigree.plans import filings as J
 from filigree.plans import snapshot as P
-from filigree.registry.base import query, table
+from filigree.registry.base import query, spread, table
 from filigree.session import shared_folder
 from filigree.sources import ixbrl
 from filigree.sources.filings import scan_filings, write_filings
@@ -65,7 +65,8 @@ f AS (
   UNION ALL SELECT *, 5, 'nonnumeric', 'BalanceSheetDate', '2025-06-30', NULL FROM d)
 SELECT source_file, ch_upload, ord, kind, tag, value, num_value, instant, start_date, end_date FROM f""")
 def ixbrl_facts(spark, sf_dir):
-    o, day = table(spark, sf_dir, "orders"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    o = spread(table(spark, sf_dir, "orders"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
     customer = F.col("o_custkey").cast("string")
     content = _page(
         F.when(F.col("o_orderstatus") == "O", _context(instant=day))
@@ -122,7 +123,7 @@ SELECT 'page_' || page_id AS source_file, strftime(DATE '2020-01-01' + to_months
   AS ch_upload, length(html) AS n_chars, md5(html) AS content_md5 FROM pages""")
 def filing_scan(spark, sf_dir):
     landing = f"{shared_folder(spark)}/landing"
-    pages = table(spark, sf_dir, "pages").select(
+    pages = spread(table(spark, sf_dir, "pages")).select(
         F.date_format(F.add_months(F.lit("2020-01-01").cast("date"), (F.col("page_id") % 24).cast("int")),
                       "yyyy-MM").alias("directory"),
         F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("file_name"),
@@ -225,7 +226,7 @@ def snapshot_load(spark, sf_dir):
 
 def _customer_filings(spark, sf_dir, broken):
     """One filing per customer, landed in twelve months by nation."""
-    c = table(spark, sf_dir, "customer")
+    c = spread(table(spark, sf_dir, "customer"))
     number = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
     month = F.lpad((F.col("c_nationkey") % 12 + 1).cast("string"), 2, "0")
     fine = _page(
