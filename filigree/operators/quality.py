@@ -15,11 +15,6 @@ CHECKS = (
 )
 
 
-def _long(wide: DataFrame, by: str) -> DataFrame:
-    values = [c for c in wide.columns if c != by]
-    return wide.unpivot([by], values, "check_name", "value")
-
-
 def content_checks(facts: DataFrame, by: str = "ch_upload") -> DataFrame:
     """Rows, companies and NULLs in one pass over the fact table."""
     return facts.groupBy(by).agg(
@@ -42,23 +37,26 @@ def verify(financials: DataFrame, directors: DataFrame, reports: DataFrame,
     """One row per month and check: value and level. Missing financial rows are an
     error, NULLs and duplicates only warn. Without ``months`` every month that has
     rows is checked."""
-    found = (
-        _long(content_checks(financials, by), by)
-        .unionByName(_long(key_checks(
-            directors, ("company_number", "director_name"),
-            "director_rows", "duplicate_directors", by), by))
-        .unionByName(_long(key_checks(
-            reports, ("company_number", "section"), "report_rows", "duplicate_reports", by), by)))
-    months = (found if months is None else months).select(by).distinct()
-    grid = months.withColumn(
-        "check_name", F.explode(F.array(*[F.lit(c) for c in CHECKS])))
+    # a few numbers per month and table, so what follows is small
+    parts = [
+        content_checks(financials, by),
+        key_checks(directors, ("company_number", "director_name"),
+                   "director_rows", "duplicate_directors", by),
+        key_checks(reports, ("company_number", "section"),
+                   "report_rows", "duplicate_reports", by)]
+    if months is not None:
+        asked = months.select(by).distinct()
+        parts = [asked, *[part.join(asked, by, "left_semi") for part in parts]]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part, allowMissingColumns=True)
+    wide = found.groupBy(by).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in CHECKS])
     value, check = F.col("value"), F.col("check_name")
-    return (
-        grid.join(found, [by, "check_name"], "left")
-        .withColumn("value", F.coalesce(value, F.lit(0)))
-        .withColumn("level", F.when((check == "financial_rows") & (value == 0), "error")
-                    .when((check.startswith("null_") | check.startswith("duplicate_"))
-                          & (value > 0), "warning").otherwise("ok")))
+    return wide.unpivot([by], list(CHECKS), "check_name", "value").withColumn(
+        "level", F.when((check == "financial_rows") & (value == 0), "error")
+        .when((check.startswith("null_") | check.startswith("duplicate_")) & (value > 0), "warning")
+        .otherwise("ok"))
 
 
 def verdict(checks: DataFrame) -> bool:

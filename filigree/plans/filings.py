@@ -22,7 +22,7 @@ from filigree.operators import facts as X
 from filigree.operators import ledger as L
 from filigree.operators.dedupe import latest_wins, recency
 from filigree.operators.upserts import filing_order, upsert_latest
-from filigree.session import shared_folder
+from filigree.session import shared_folder, small_batches
 from filigree.sources.filings import list_filings, scan_filings
 from filigree.sources.ixbrl import facts as fact_rows
 from filigree.sources.ixbrl import parse_filings
@@ -128,7 +128,8 @@ def _commit(spark: SparkSession, tables: dict, filings: DataFrame, months: Seque
             at: datetime, attempts: DataFrame | None = None) -> None:
     # parsed once, values converted once: what follows reads these two tables
     work = shared_folder(spark)
-    parsed = _stored(parse(filings), f"{work}/parsed")
+    with small_batches(spark):
+        parsed = _stored(parse(filings), f"{work}/parsed")
     facts = _stored(fact_table(parsed), f"{work}/facts")
     files = parsed.select(*FILE).distinct()
     stamped = lambda df: df.withColumn("loaded_at", F.lit(at).cast("timestamp"))

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 # Filings are large rows, so Python workers get few of them at a time; small
 # files are packed by their size, not by a 4 MB opening cost each.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    _BATCH: "16",
     "spark.sql.files.openCostInBytes": "262144",
 }
 
@@ -35,3 +38,15 @@ def shared_folder(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="filigree-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/filigree-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 16):
+    """Hand few rows at a time to Python workers while whole documents are parsed:
+    the default of 10,000 filings would not fit in one Arrow batch."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)

@@ -40,7 +40,8 @@ class _Collector:
     """Markup events in, tagged elements out."""
 
     def __init__(self):
-        self.elements, self.contexts, self.continued, self.kinds = [], {}, {}, {}
+        self.elements, self.contexts, self.continued = [], {}, {}
+        self.kinds, self.attribute_names = {}, {}  # short forms of names seen so far
         self.open, self.context, self.excluded, self.rooted = [], None, 0, False
 
     def start(self, name, attrs):
@@ -51,7 +52,7 @@ class _Collector:
             if self.open:
                 self.open.append((name, None, None))
             return
-        attrs = {k.lower() if k.lower() == "xsi:nil" else _local(k): v for k, v in attrs.items()}
+        attrs = {self._attribute(k): v for k, v in attrs.items()}
         if kind in ("html", "xbrl"):
             self.rooted = True
         elif kind == "exclude":
@@ -72,6 +73,13 @@ class _Collector:
             self.elements.append(element)
             self.open.append((name, element, []))
 
+    def _attribute(self, name):
+        short = self.attribute_names.get(name)
+        if short is None:
+            lower = name.lower()
+            short = self.attribute_names[name] = lower if lower == "xsi:nil" else _local(name)
+        return short
+
     def data(self, text):
         if self.open and not self.excluded:
             for _, _, pieces in self.open:
