@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filigree.functions import text as T
@@ -29,6 +29,14 @@ def _named(df: DataFrame) -> DataFrame:
         "ch_upload", T.directory_label(F.col("path")))
 
 
+def drop_invalid_bytes(text: Column) -> Column:
+    """Bytes that are not UTF-8 go, all else stays, real replacement characters too."""
+    mark, private = F.lit("\ufffd"), F.lit("\ue0ff")
+    marked = F.make_valid_utf8(F.replace(text, mark, private))
+    return F.when(F.is_valid_utf8(text), text).otherwise(
+        F.replace(F.replace(marked, mark, F.lit("")), private, mark))
+
+
 def list_filings(spark: SparkSession, landing: str,
                  months: Iterable[str] | None = None) -> DataFrame:
     """source_file, path, ch_upload. The content is not read."""
@@ -55,7 +63,7 @@ def scan_filings(spark: SparkSession, landing: str,
         .option("ignoreMissingFiles", True)
         .text([f"{landing}/{d}" for d in dirs], wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"),
-                F.replace(F.col("value"), F.lit("�"), F.lit("")).alias("content")))
+                drop_invalid_bytes(F.col("value")).alias("content")))
     return _named(files).select("source_file", "path", "ch_upload", "content")
 
 
