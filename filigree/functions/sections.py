@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filigree import fixed_values as fv
-from filigree.functions.text import rlike, rlike_any, strip
+from filigree.functions.text import begins_with, strip
 
 # Line kinds; start headings are numbered from 1.
 _STOP, _TEXT, _SKIP, _NOTE, _NOTE_OR_SKIP = 0, -1, -2, -3, -4
@@ -25,13 +25,16 @@ def lines(content: Column) -> Column:
 
 def line_kind(line: Column, starts=fv.SECTION_STARTS, stops=fv.SECTION_STOPS,
               note_number=fv.NOTE_NUMBER, skips=fv.SECTION_SKIPS) -> Column:
-    """k for the k-th start heading, 0 for a stop heading, negative otherwise."""
-    kind = None
+    """k for the k-th start heading, 0 for a stop heading, negative otherwise.
+    Patterns are matched from the start of the line."""
+    # most lines are plain text: one combined search settles them
+    every = [p for p, _ in starts] + [*stops, note_number, *skips]
+    kind = F.when(~begins_with(line, *every), _TEXT)
     for k, (pattern, _) in enumerate(starts, start=1):
-        kind = (F if kind is None else kind).when(rlike(line, pattern), k)
-    skip, note = rlike_any(line, skips), rlike(line, note_number)
+        kind = kind.when(begins_with(line, pattern), k)
+    skip, note = begins_with(line, *skips), begins_with(line, note_number)
     return (
-        kind.when(rlike_any(line, stops), _STOP)
+        kind.when(begins_with(line, *stops), _STOP)
         .when(note & skip, _NOTE_OR_SKIP).when(note, _NOTE).when(skip, _SKIP)
         .otherwise(_TEXT)
     )

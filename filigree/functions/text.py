@@ -22,6 +22,14 @@ def rlike_any(text: Column, patterns) -> Column:
     return rlike(text, "|".join(f"(?:{p})" for p in patterns))
 
 
+def begins_with(text: Column, *patterns: str) -> Column:
+    """Does a non-empty text begin with a match of any pattern? The empty
+    alternative makes the search end at the first character, where a plain search
+    for an anchored pattern would still walk through the whole text."""
+    either = "|".join(f"(?:{p})" for p in patterns)
+    return F.regexp_extract(text, f"{_REGEX_FLAGS}^((?={either})(?s:.)|)", 1) != ""
+
+
 def strip(text: Column) -> Column:
     """Trim every Unicode blank, NBSP included. Linear, unlike a regex trim."""
     return F.btrim(text, F.lit(fv.WHITESPACE))

@@ -19,8 +19,9 @@ from filigree.sources.schemas import register_tables
 from filigree.sources.snapshot_csv import read_snapshot
 from filigree.sources.tables import Table
 
-_AT = datetime(2025, 1, 1)
-_LATER = datetime(2025, 2, 1)
+# noon, so that the day is the same in any session time zone
+_AT = datetime(2025, 1, 1, 12)
+_LATER = datetime(2025, 2, 1, 12)
 
 
 # ---- tagged filings ----------------------------------------------------------

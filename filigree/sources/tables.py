@@ -106,6 +106,11 @@ class Table:
             rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
         rows.write.mode("append").partitionBy(*self.partition_by).parquet(target)
 
+    def compact(self, spark: SparkSession) -> int:
+        """One full version instead of many partial ones; returns how many went."""
+        self.write(self.read(spark))
+        return self.drop_superseded(spark)
+
     def drop_superseded(self, spark: SparkSession) -> int:
         """Delete versions older than the newest full one."""
         fs, hadoop_path = self._fs(spark)

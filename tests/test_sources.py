@@ -69,7 +69,7 @@ def test_table_versions(spark, tmp_path):
     assert read() == [(3, "c", "Feb-21")]
     table.write(rows((4, "d", "Feb-21")))
     assert read() == [(4, "d", "Feb-21")]
-    assert table.drop_superseded(spark) == 4
+    assert table.compact(spark) == 5
     assert read() == [(4, "d", "Feb-21")]
     with pytest.raises(ValueError):
         table.write(rows((4, "d", "Feb-21")), ["a/b"])
