@@ -8,7 +8,7 @@ earlier, so a run that is cut off is simply run again.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -205,10 +205,27 @@ def filings_load(spark: SparkSession, landing: str, root: str, *,
     ``statuses`` narrows which ledger entries count as done. Returns the month
     ledger. Months whose filings are all known are closed with 0/0.
     """
-    at = at or datetime.now()
+    return _load(
+        spark, root, list_filings(spark, landing, months),
+        lambda labels: scan_filings(spark, landing, [_directory(m) for m in labels]),
+        at or datetime.now(), statuses)
+
+
+def filings_table_load(filings: DataFrame, root: str, *, at: datetime | None = None,
+                       statuses: Sequence[str] | None = None) -> DataFrame:
+    """As ``filings_load``, from a table of filings (source_file, path, ch_upload,
+    content) instead of one file each, such as a stored ``scan_filings``."""
+    return _load(
+        filings.sparkSession, root, filings.select("source_file", "path", "ch_upload"),
+        lambda labels: filings.where(F.col("ch_upload").isin(*labels)),
+        at or datetime.now(), statuses)
+
+
+def _load(spark: SparkSession, root: str, listed: DataFrame,
+          content_of: Callable[[list[str]], DataFrame], at: datetime,
+          statuses: Sequence[str] | None) -> DataFrame:
     tables = register_tables(root)
     ledger, batches = tables["file_ledger"], tables["month_ledger"]
-    listed = list_filings(spark, landing, months)
     labels = [r[0] for r in listed.select("ch_upload").distinct().collect()]  # months only
     if not labels:
         return batches.read(spark)
@@ -226,8 +243,7 @@ def filings_load(spark: SparkSession, landing: str, root: str, *,
             done = ledger.read(spark, busy)
             if statuses is not None:
                 done = done.where(F.col("status").isin(*statuses))
-            content = scan_filings(spark, landing, [_directory(m) for m in busy])
-            content = L.filter_heavy(content, done, FILE, "left_anti")
+            content = L.filter_heavy(content_of(busy), done, FILE, "left_anti")
             _commit(spark, tables, content, busy, at)
     except Exception:
         broken = listed.groupBy("ch_upload").agg(F.count(F.lit(1)).cast("int").alias("n")).select(

@@ -163,20 +163,18 @@ def ledger_upsert(spark, sf_dir):
 
 
 @query(f"""
-WITH c AS (
+WITH e AS (SELECT ts, CASE WHEN day(ts) = 20 THEN 'error' ELSE event_type END AS event_type FROM events),
+c AS (
   SELECT strftime(ts, '%d-%m') AS ch_upload,
          count(*) FILTER (WHERE {_LEDGER_STATUS} = 'success') AS files_processed,
          count(*) FILTER (WHERE {_LEDGER_STATUS} = 'failed') AS files_failed,
          count(*) FILTER (WHERE {_LEDGER_STATUS} = 'warning') AS files_warned
-  FROM (SELECT *, CASE WHEN day(ts) = 20 THEN 'error' ELSE event_type END AS t FROM events) e0,
-       LATERAL (SELECT e0.t AS event_type) e
-  WHERE ts >= TIMESTAMP '2024-01-05 12:00:00' GROUP BY ALL)
+  FROM e WHERE ts >= TIMESTAMP '2024-01-05 12:00:00' GROUP BY ALL)
 SELECT *, CASE WHEN files_processed = 0 AND files_failed > 0 THEN 'failed' ELSE 'completed' END AS status,
        CASE WHEN files_processed + files_failed > 0
             THEN printf('%.2f%%', files_processed::DOUBLE / (files_processed + files_failed) * 100)
             ELSE 'N/A' END AS success_rate
-FROM c""".replace("SELECT *, CASE WHEN day(ts) = 20 THEN 'error' ELSE event_type END AS t FROM events) e0,\n       LATERAL (SELECT e0.t AS event_type) e",
-                  "SELECT ts, CASE WHEN day(ts) = 20 THEN 'error' ELSE event_type END AS event_type FROM events)"))
+FROM c""")
 def month_outcome(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn(
         "event_type", F.when(F.dayofmonth("ts") == 20, "error").otherwise(F.col("event_type")))

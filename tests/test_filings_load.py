@@ -114,6 +114,45 @@ def test_monthly_load_takes_previous_month(spark, tmp_path):
     assert (row.ch_upload, row.status, row.started_at) == ("Dec-20", "completed", T1)
 
 
+def test_table_of_filings_gives_what_files_give(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for i in range(3):
+        land(landing, "2021-01", f"Prod224_0086_0000000{i}_20200229.html", filing(turnover=str(i)))
+    stored = str(tmp_path / "stored")
+    J.scan_filings(spark, str(landing)).write.partitionBy("ch_upload").parquet(stored)
+    table = spark.read.parquet(stored)
+    for at in (T1, T2):  # the second run finds nothing new
+        J.filings_table_load(table, str(tmp_path / "root"), at=at)
+    tables = register_tables(str(tmp_path / "root"))
+    assert sorted(r.value for r in tables["financials"].read(spark).collect()) == [-2000.0, -1000.0, 0.0]
+    (month,) = tables["month_ledger"].read(spark).collect()
+    assert (month.status, month.files_processed, month.started_at) == ("completed", 0, T2)
+
+
+def test_failed_run_is_recorded_and_can_be_repeated(spark, tmp_path, monkeypatch):
+    landing, root = tmp_path / "landing", str(tmp_path / "root")
+    land(landing, "2021-01", "Prod224_0086_00000001_20200229.html", filing())
+
+    def lost(*_):
+        raise RuntimeError("lost in the middle")
+
+    # the facts are written, the ledger is not
+    monkeypatch.setattr(J, "outcomes", lost)
+    try:
+        J.filings_load(spark, str(landing), root, at=T1)
+        raise AssertionError("should have failed")
+    except RuntimeError as failure:
+        assert "lost" in str(failure)
+    monkeypatch.undo()
+    tables = register_tables(root)
+    (month,) = tables["month_ledger"].read(spark).collect()
+    assert (month.status, month.files_failed) == ("failed", 1)
+    J.filings_load(spark, str(landing), root, at=T2)
+    assert tables["financials"].read(spark).count() == 1
+    (month,) = tables["month_ledger"].read(spark).collect()
+    assert (month.status, month.files_processed) == ("completed", 1)
+
+
 def test_one_broken_filing_keeps_its_neighbours(spark):
     good = [(f"p{i}", f"f{i}", "Jan-21", filing()) for i in range(5)]
     df = spark.createDataFrame(
