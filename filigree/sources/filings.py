@@ -76,8 +76,7 @@ def write_filings(df: DataFrame, landing: str, directory: str = "directory",
         import pyarrow as pa
         from pyarrow import fs as arrow_fs
 
-        store, root = arrow_fs.FileSystem.from_uri(
-            landing if "://" in landing or landing.startswith("file:") else f"file://{landing}")
+        store, root = arrow_fs.FileSystem.from_uri(landing)
         made = set()
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(3)))
