@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("tokenids", "simhash", "decontaminate")
+MODULES = ("tokenids", "simhash", "decontaminate", "secrets")
 
 
 def queries() -> dict:
