@@ -35,15 +35,18 @@ def sums_before(df: DataFrame, name: str, lengths: str) -> DataFrame:
         F.slice(lengths, run(i) * RUN + 1, i % RUN)))).drop("_runs")
 
 
-def _places(kind: str) -> Column:
+def _places(kind: str, before: bool) -> Column:
     return F.transform(f"_m.{kind}", lambda v, i: F.struct(
         (F.get("_b", i) + F.get(f"_s.{kind}", i)["gap"]).alias("start"),
-        (F.get("_b", i) + F.get("_l", i)).alias("end"), v.alias("value")))
+        (F.get("_b", i) + F.get("_l", i)).alias("end"), v.alias("value"),
+        *([F.get(f"_s.{kind}", i)["before"].alias("before")] if before else [])))
 
 
-def with_matches(df: DataFrame, text: str, kinds: dict[str, tuple[str, Column]]) -> DataFrame:
+def with_matches(df: DataFrame, text: str, kinds: dict[str, tuple[str, Column]],
+                 before: int = 0) -> DataFrame:
     """Add per kind an array of ``(start, end, value)`` of its leftmost non-overlapping
-    matches. ``kinds``: name -> (pattern, a condition that every text with a match
+    matches; with ``before``, ``(start, end, value, before)`` with as many characters
+    from between the match before and this one. ``kinds``: name -> (pattern, a condition that every text with a match
     meets). ``text`` is not NULL. Patterns must not match nothing."""
     none = F.array().cast("array<string>")
     df = _held(df, "_m", F.struct(*(
@@ -51,15 +54,15 @@ def with_matches(df: DataFrame, text: str, kinds: dict[str, tuple[str, Column]])
         for kind, (pattern, might) in kinds.items())))
     df = _held(df, "_s", F.struct(*(
         F.when(F.size(f"_m.{kind}") > 0, F.transform(F.arrays_zip(
-            F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
-            F.transform(f"_m.{kind}", F.length).alias("own")),
-            lambda z: F.struct(z["gap"].alias("gap"), F.coalesce(z["own"], F.lit(0)).alias("own"))))
-        .otherwise(F.array().cast("array<struct<gap:int,own:int>>")).alias(kind)
+            F.split(text, pattern, -1).alias("gap"), F.transform(f"_m.{kind}", F.length).alias("own")),
+            lambda z: F.struct(F.length(z["gap"]).alias("gap"), F.coalesce(z["own"], F.lit(0)).alias("own"),
+                               F.right(z["gap"], F.lit(before)).alias("before"))))
+        .otherwise(F.array().cast("array<struct<gap:int,own:int,before:string>>")).alias(kind)
         for kind, (pattern, _) in kinds.items())))
     for kind in kinds:
         df = df.withColumn("_l", F.transform(f"_s.{kind}", lambda z: z["gap"] + z["own"]))
         df = sums_before(df, "_b", "_l")
-        df = df.withColumn(kind, _places(kind)).drop("_l", "_b")
+        df = df.withColumn(kind, _places(kind, before > 0)).drop("_l", "_b")
     return df.drop("_m", "_s")
 
 
