@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from filigree.llm.work import stored, table
 
 WINDOW = 13
+#: Up to so many prefix tokens (a few MB) are sent to where the words are; a larger
+#: benchmark first finds the places of its tokens on narrow rows.
+SENT_TOKENS = 200_000
+#: Words whose surroundings are laid out at a time.
+CHUNK = 256
 #: Between words: every ASCII character but 0-9 and a-z (A-Z are lower-cased before).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,9 +55,34 @@ def rarest(base: DataFrame, windows: DataFrame) -> DataFrame:
         "win", "items", F.col("r.token").alias("token"), F.col("r.at").alias("at"))
 
 
+def surroundings(base: DataFrame, tokens: DataFrame, window: int, sent: int = SENT_TOKENS) -> DataFrame:
+    """``(row, n_words, pos, token, from, near)`` of each place with a prefix token."""
+    if tokens.count() <= sent:
+        low = lambda c: F.greatest(c - window + 1, F.lit(0))
+        chunks = base.where("n_words > 0").select("row", "n_words", F.explode(F.transform(
+            F.sequence(F.lit(0), F.size("w") - 1, F.lit(CHUNK)), lambda c: F.struct(
+                c.alias("c"), low(c).alias("low"),
+                F.slice("w", low(c) + 1, c - low(c) + CHUNK + window - 1).alias("w")))).alias("k"))
+        chunks = chunks.select("row", "n_words", "k.c", "k.low", "k.w")
+        # the array goes along by reference; only matches look at what is around them
+        p, low = F.col("c") + F.col("i"), F.col("low")
+        first = F.greatest(p - window + 1, low)
+        return chunks.select("*", F.posexplode(F.slice("w", F.col("c") - low + 1, CHUNK)).alias("i", "token")).join(
+            F.broadcast(tokens), "token", "left_semi").select(
+            "row", "n_words", p.alias("pos"), "token", first.alias("from"),
+            F.slice("w", first - low + 1, p - first + window).alias("near"))
+    places = base.select("row", F.posexplode("w").alias("pos", "token")).join(
+        tokens, "token", "left_semi").groupBy("row").agg(F.collect_list("pos").alias("places"))
+    return stored(places, "places").join(base.select("row", "w", "n_words"), "row").select(
+        "row", "n_words", F.explode(F.transform("places", lambda p: F.struct(
+            p.alias("pos"), F.get("w", p).alias("token"), F.greatest(p - window + 1, F.lit(0)).alias("from"),
+            F.slice("w", F.greatest(p - window + 2, F.lit(1)), F.least(p, F.lit(window - 1)) + window).alias("near")
+        ))).alias("p")).select("row", "n_words", "p.*")
+
+
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text",
-                  window: int = WINDOW) -> DataFrame:
+                  window: int = WINDOW, sent: int = SENT_TOKENS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_hit`` (words inside any
     occurrence of a window), ``item_ids`` (items with occurring windows, sorted as
     strings) and ``contaminated`` (``n_hit > 0 and 20 * n_hit >= n_words``).
@@ -69,15 +99,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     windows = stored(rarest(base, windows).coalesce(1), "windows")
     tokens = stored(windows.select("token").distinct().coalesce(1), "tokens")
 
-    # which places of which documents hold a prefix token; then those places' surroundings
-    places = base.select("row", F.posexplode("w").alias("pos", "token")).join(
-        tokens, "token", "left_semi").groupBy("row").agg(F.collect_list("pos").alias("places"))
-    around = stored(places, "places").join(base.select("row", "w", "n_words"), "row").select(
-        "row", "n_words", F.explode(F.transform("places", lambda p: F.struct(
-            p.alias("pos"), F.get("w", p).alias("token"),
-            F.greatest(p - window + 1, F.lit(0)).alias("from"),
-            F.slice("w", F.greatest(p - window + 2, F.lit(1)), 2 * window - 1).alias("near")
-        ))).alias("p")).select("row", "n_words", "p.*")
+    around = surroundings(base, tokens, window, sent)
     start, length = F.col("pos") - F.col("at"), F.size("win")
     found = around.join(windows, "token").where(
         (start >= 0) & (start + length <= F.col("n_words"))
