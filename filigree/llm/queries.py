@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("tokenids", "pieces", "simhash", "pii", "toxicity", "decontaminate", "vectors", "secrets")
+MODULES = ("tokenids", "pieces", "simhash", "pii", "toxicity", "paragraphs", "webpages", "decontaminate", "vectors", "secrets")
 
 
 def queries() -> dict:
