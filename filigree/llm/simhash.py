@@ -181,6 +181,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return fps.join(reps, "fp").select("doc_id", "fp", "component_id")
 
 
+def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """Rows of ``docs`` whose id is the smallest of their component, all columns as they
+    are. Rows that share an id are one document and stay or go together; rows with a
+    NULL id stay where no row of their fingerprint's component has an id."""
+    found = near_duplicates(docs, doc_id, text, **how)
+    kept = stored(found.where("component_id IS NULL OR doc_id = component_id").select(
+        F.col("doc_id").alias("_kept")).distinct(), "kept")
+    return docs.join(kept, F.col(doc_id).cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+
+
 def op3_simhash(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

@@ -278,6 +278,14 @@ class Scorer:
 _SCORERS: dict = {}
 
 
+def _scorer(net: Network) -> Scorer:
+    """One per Python worker and network."""
+    if net not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[net] = Scorer(net)
+    return _SCORERS[net]
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
@@ -313,12 +321,10 @@ def scored(docs: DataFrame, net: Network | None, doc_id: str = "doc_id", text: s
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
-        if shared.value not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[shared.value] = Scorer(shared.value)
+        scorer = _scorer(shared.value)
         for b in batches:
             if b.num_rows:
-                score = _SCORERS[shared.value].scores(b.column(1).to_pylist())
+                score = scorer.scores(b.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(score.astype(np.float64))], ["doc_id", "score"])
 
@@ -326,6 +332,24 @@ def scored(docs: DataFrame, net: Network | None, doc_id: str = "doc_id", text: s
         run, "doc_id long, score double")
 
 
+def without_toxic(docs: DataFrame, net: Network | None, text: str = "text",
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``docs`` that score below ``threshold``, all columns as they are."""
+    if net is None:
+        return docs
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        scorer = _scorer(shared.value)
+        for b in batches:
+            if b.num_rows:
+                yield b.filter(pa.array(scorer.scores(b.column(at).to_pylist()) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = scored(docs, learn(docs, table(spark, sf_dir, "labels")))
