@@ -167,8 +167,9 @@ SNAPSHOT_HEADERS = {
 SNAPSHOT_TOLERANCE = 0.95
 COMMENT_CHARS = 2000
 SUCCESS_COMMENT = "Processed successfully"
-EMPTY_COMMENT = "Empty result"
 WARNING_MARK = "ixt"
+FILE_HEAD = "FILE: "
+WARNING_HEAD = ("\nParsed with ", " warning(s) — data SAVED (only flagged fields were skipped):\n")
 FILING_SOURCE = "accounts"
 SNAPSHOT_SOURCE = "company_data"
 ARCHIVE_PREFIX = "Accounts_Monthly_Data-"
@@ -199,3 +200,6 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # What the bytes 0x80-0x9F mean in cp1252; U+FFFD where undefined.
 CP1252_HIGH = bytes(range(0x80, 0xA0)).decode("cp1252", errors="replace")
+
+# Own text, no fixed value: the ledger comment of a filing that gave no rows.
+EMPTY_COMMENT = "Empty result"

@@ -106,11 +106,16 @@ def label_month(label: Column) -> Column:
                     F.lit("-01")).try_cast("date")
 
 
+def folder_label(folder: Column) -> Column:
+    """Month label of a month folder: 2021-01 -> Jan-21; NULL for other names."""
+    part = F.regexp_extract(folder, r"^(\d{4})-(\d{2})$", 2)
+    return F.concat(F.substring(_month_name(part), 1, 3), F.lit("-"), F.substring(folder, 3, 2))
+
+
 def directory_label(path: Column) -> Column:
-    """Month label of a landing path that holds a yyyy-mm directory."""
-    yyyy = F.regexp_extract(path, r"/(\d{4})-(\d{2})/", 1)
-    mm = F.regexp_extract(path, r"/(\d{4})-(\d{2})/", 2)
-    return F.concat(F.substring(_month_name(mm), 1, 3), F.lit("-"), F.right(yyyy, F.lit(2)))
+    """Month label of a path by the nearest yyyy-mm directory above the file; of a
+    landed file, ``folder_label`` of its month folder is the one to use."""
+    return folder_label(F.regexp_extract(path, r"^.*/(\d{4}-\d{2})/", 1))
 
 
 def previous_month(day: Column) -> Column:
@@ -192,20 +197,20 @@ def data_scope(group_class: Column) -> Column:
 # ---- ledger texts --------------------------------------------------------------------
 
 def comment(text: Column) -> Column:
+    """As the file ledger stores it; everywhere else comments are whole."""
     return F.substring(text, 1, fv.COMMENT_CHARS)
 
 
 def error_comment(file_name: Column, location: Column, source: Column, error: Column) -> Column:
     parts = [F.coalesce(c, F.lit("")) for c in (location, source, error)]
-    return comment(F.concat_ws("\n", F.concat(F.lit("FILE: "), file_name), *parts))
+    return F.concat_ws("\n", F.concat(F.lit(fv.FILE_HEAD), file_name), *parts)
 
 
 def warning_comment(file_name: Column, n: Column, numbered: Column) -> Column:
     """``numbered`` is the array of already numbered warning lines."""
     head = F.concat(
-        F.lit("FILE: "), file_name, F.lit("\nParsed with "), n.cast("string"),
-        F.lit(" warning(s) — data SAVED (only flagged fields were skipped):\n"))
-    return comment(F.concat(head, F.array_join(numbered, "\n")))
+        F.lit(fv.FILE_HEAD), file_name, F.lit(fv.WARNING_HEAD[0]), n.cast("string"), F.lit(fv.WARNING_HEAD[1]))
+    return F.concat(head, F.array_join(numbered, "\n"))
 
 
 def numbered_line(position: Column, text: Column) -> Column:

@@ -22,11 +22,12 @@ def number(text: Column, fmt: Column, scale: Column, sign: Column) -> Column:
     body = F.regexp_replace(text, r"(?U)\s+", "")
     dot = F.replace(body, F.lit(","), F.lit(""))
     comma = F.replace(F.replace(body, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    as_number = lambda c: F.when(c.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)$"), c.try_cast("double"))  # noqa: E731  not NaN, 1d
     plain = (
         F.when(fmt.isNull() | name.isin(*fv.DOT_DECIMAL_FORMATS),
                F.when(dot.isin("-", "–", "—"), F.lit(0.0))
-               .otherwise(dot.try_cast("double")))
-        .when(name.isin(*fv.COMMA_DECIMAL_FORMATS), comma.try_cast("double"))
+               .otherwise(as_number(dot)))
+        .when(name.isin(*fv.COMMA_DECIMAL_FORMATS), as_number(comma))
         .when(name.isin(*fv.ZERO_FORMATS), F.lit(0.0))
     )
     scaled = F.when(F.coalesce(scale, F.lit(0)) == 0, plain).otherwise(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,9 +14,6 @@ from filigree.operators.dedupe import pick_first
 
 FILE_KEYS = ("source_file", "ch_upload")
 
-# A set of this many ledger keys is about 100 MB; beyond it the join shuffles.
-MAX_BROADCAST_KEYS = 1_000_000
-
 
 # ---- what is new -------------------------------------------------------------
 
@@ -26,14 +24,16 @@ def new_files(files: DataFrame, ledger: DataFrame, keys: Sequence[str] = FILE_KE
     return files.join(done.select(*keys), list(keys), "left_anti")
 
 
-def filter_heavy(rows: DataFrame, key_rows: DataFrame, keys: Sequence[str], how: str,
-                 max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Semi or anti join of rows with large cells. The key side is counted first:
-    when it fits, it is broadcast and the cells stay where they were read; when it
-    does not, Spark joins by shuffle."""
+def filter_heavy(rows: DataFrame, key_rows: DataFrame, keys: Sequence[str] = FILE_KEYS,
+                 months: Iterable[str] = (), month: str = "ch_upload") -> DataFrame:
+    """Rows with large cells whose keys are in ``key_rows``, month by month. A month has
+    a delivery's files at most (hundreds of thousands), so its keys are broadcast and
+    the cells stay where they were read, however long the history is."""
+    keys = list(keys)
     key_rows = key_rows.select(*keys).distinct()
-    small = key_rows.limit(max_keys + 1).count() <= max_keys
-    return rows.join(F.broadcast(key_rows) if small else key_rows, list(keys), how)
+    parts = [rows.where(F.col(month) == m).join(
+        F.broadcast(key_rows.where(F.col(month) == m)), keys, "left_semi") for m in months]
+    return reduce(DataFrame.unionByName, parts) if parts else rows.limit(0)
 
 
 def pending_months(plan: DataFrame, month_ledger: DataFrame) -> DataFrame:
@@ -73,21 +73,21 @@ def ledger_upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str] = FIL
 
 def numbered_warnings(warnings: DataFrame, keys: Sequence[str], order: str,
                       text: str = "warning") -> DataFrame:
-    """One comment per file from a flat table of warnings, ``ixt`` warnings only.
-
-    A comment is cut to 2,000 characters and a numbered line takes at least six, so
-    lines past the first 400 cannot show; the count still covers all of them.
-    """
-    keys, shown = list(keys), fv.COMMENT_CHARS // 5
-    own = warnings.where(T.is_format_warning(F.col(text)))
-    totals = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_warnings"))
-    ranked = own.select(*keys, text, F.row_number().over(
-        Window.partitionBy(*keys).orderBy(order)).alias("_n")).where(F.col("_n") <= shown)
-    lines = ranked.groupBy(*keys).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("_n", text))),
-        lambda x: T.numbered_line(x["_n"], x[text])).alias("_lines"))
-    return totals.join(lines, keys).withColumn("comment", T.warning_comment(
-        F.col(keys[0]).cast("string"), F.col("n_warnings"), F.col("_lines"))).drop("_lines")
+    """All ``ixt`` warnings, one row each: keys, ``n`` (from 1 in each file), warning."""
+    return warnings.where(T.is_format_warning(F.col(text))).select(*keys, F.row_number().over(
+        Window.partitionBy(*keys).orderBy(order)).alias("n"), F.col(text).alias("warning"))
+
+
+def warning_comments(numbered: DataFrame, keys: Sequence[str], file_name: Column) -> DataFrame:
+    """One ledger comment per file. It is cut to 2,000 characters and a numbered line
+    takes at least six, so only the first 400 lines are gathered for it; the count
+    covers all, and the table of numbered warnings keeps all."""
+    line = F.when(F.col("n") <= fv.COMMENT_CHARS // 5, F.struct("n", "warning"))
+    return numbered.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_warnings"),
+        F.transform(F.array_sort(F.collect_list(line)),
+                    lambda x: T.numbered_line(x["n"], x["warning"])).alias("_lines")).withColumn(
+        "comment", T.comment(T.warning_comment(file_name, F.col("n_warnings"), F.col("_lines")))).drop("_lines")
 
 
 # ---- month ledger -----------------------------------------------------------------

@@ -8,6 +8,7 @@ earlier, so a run that is cut off is simply run again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date, datetime
 
@@ -22,14 +23,16 @@ from filigree.operators import facts as X
 from filigree.operators import ledger as L
 from filigree.operators.dedupe import latest_wins, recency
 from filigree.operators.upserts import filing_order, upsert_latest
-from filigree.session import shared_folder, small_batches
-from filigree.sources.filings import list_filings, scan_filings
+from filigree.session import small_batches
+from filigree.sources.filings import list_filings, read_contents, scan_filings  # noqa: F401
 from filigree.sources.ixbrl import facts as fact_rows
 from filigree.sources.ixbrl import parse_filings
 from filigree.sources.schemas import register_tables
 
 DOC = ("path", "source_file", "ch_upload")
 FILE = list(L.FILE_KEYS)
+#: Full versions of a table that a load leaves, for queries that began before it.
+KEPT_VERSIONS = 2
 TAGS = (*fv.METRIC_TAGS, *fv.FIELD_TAGS, fv.DIRECTOR_TAG)
 
 
@@ -103,7 +106,7 @@ def reports(parsed: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def outcomes(parsed: DataFrame) -> DataFrame:
-    """Status and comment of each filing; ``content`` is NULL where it is fine."""
+    """Status and whole comment of each filing; ``content`` is NULL where it is fine."""
     stem = F.substring_index(F.col("path"), "/", -1)
     notable = F.filter("warnings", T.is_format_warning)
     warning = F.when(F.size(notable) > 0, T.warning_comment(
@@ -116,6 +119,22 @@ def outcomes(parsed: DataFrame) -> DataFrame:
         F.coalesce(error, warning).alias("comment"))
 
 
+def all_warnings(parsed: DataFrame) -> DataFrame:
+    """Every warning of every filing, numbered as it came; nothing is left out."""
+    return parsed.select(*FILE, F.posexplode("warnings").alias("n", "warning")).select(
+        "source_file", (F.col("n") + 1).cast("int").alias("n"), "warning", "ch_upload")
+
+
+def filled_files(parsed: DataFrame, facts: DataFrame, financial: DataFrame) -> DataFrame:
+    """Files that give at least one row: numbers as stored, the rest read off narrow
+    columns, without the windows that pick the rows."""
+    texts = _texts(facts).where(
+        ((F.col("tag") == fv.DIRECTOR_TAG) & (F.col("value") != ""))
+        | X.is_related_party_text(F.col("tag"), F.col("value")))
+    told = parsed.where(F.col("error").isNull() & (F.size("sections") > 0))
+    return L.source_files(financial, texts, told, keys=FILE)
+
+
 # ---- writing -------------------------------------------------------------------
 
 def replace_files(existing: DataFrame, new: DataFrame, files: DataFrame) -> DataFrame:
@@ -124,10 +143,20 @@ def replace_files(existing: DataFrame, new: DataFrame, files: DataFrame) -> Data
         new.select(*existing.columns))
 
 
-def _commit(spark: SparkSession, tables: dict, filings: DataFrame, months: Sequence[str],
-            at: datetime, attempts: DataFrame | None = None) -> None:
+def _commit(spark: SparkSession, root: str, tables: dict, filings: DataFrame,
+            months: Sequence[str], at: datetime, attempts: DataFrame | None = None) -> None:
+    """Parse ``filings`` and write all they give. What is kept meanwhile goes below
+    ``root`` and is deleted, also when the load fails."""
+    work = f"{root.rstrip('/')}/_work/{uuid.uuid4().hex}"
+    try:
+        _commit_in(spark, work, tables, filings, months, at, attempts)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(work)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _commit_in(spark, work, tables, filings, months, at, attempts) -> None:
     # parsed once, values converted once: what follows reads these two tables
-    work = shared_folder(spark)
     with small_batches(spark):
         parsed = _stored(parse(filings), f"{work}/parsed")
     facts = _stored(fact_table(parsed), f"{work}/facts")
@@ -144,12 +173,13 @@ def _commit(spark: SparkSession, tables: dict, filings: DataFrame, months: Seque
         existing = table.read(spark)
         table.write(upsert_latest(
             existing, stamped(new).select(*existing.columns), keys, filing_order()))
+        table.drop_superseded(spark, KEPT_VERSIONS)
 
     replace("financials", stamped(financials(facts)))
     replace("fields", fields(parsed, facts))
-    named, written = directors(facts), reports(parsed, facts)
-    upsert("directors", named, ["company_number", "director_name"])
-    upsert("reports", written, ["company_number", "section"], "ord")
+    replace("warnings", all_warnings(parsed))
+    upsert("directors", directors(facts), ["company_number", "director_name"])
+    upsert("reports", reports(parsed, facts), ["company_number", "section"], "ord")
 
     status = outcomes(parsed)
     held = status.where(F.col("status") != "success")
@@ -160,12 +190,11 @@ def _commit(spark: SparkSession, tables: dict, filings: DataFrame, months: Seque
             "attempts", F.coalesce(F.col("attempts"), F.lit(0)) + 1)
     replace("quarantine", held)
 
-    filled = L.source_files(
-        tables["financials"].read(spark, months), named, written, keys=FILE)
+    filled = filled_files(parsed, facts, tables["financials"].read(spark, months))
     entries = (
         status.join(filled.withColumn("_filled", F.lit(1)), FILE, "left")
-        .select(*FILE, "status", T.file_comment(
-            F.col("comment"), F.lit(None), F.coalesce("_filled", F.lit(0))).alias("comment"),
+        .select(*FILE, "status", T.comment(T.file_comment(
+            F.col("comment"), F.lit(None), F.coalesce("_filled", F.lit(0)))).alias("comment"),
             F.lit(at).cast("timestamp").alias("processed_at")))
     # one entry per file and month, also when a month holds a file name twice
     entries = latest_wins(entries, FILE, [F.col("status").asc()])
@@ -201,14 +230,13 @@ def filings_load(spark: SparkSession, landing: str, root: str, *,
                  months: Iterable[str] | None = None, at: datetime | None = None,
                  statuses: Sequence[str] | None = None) -> DataFrame:
     """Load new filings of the landed months (folders ``yyyy-mm``; all when None).
+    Known filings are not opened.
 
     ``statuses`` narrows which ledger entries count as done. Returns the month
     ledger. Months whose filings are all known are closed with 0/0.
     """
-    return _load(
-        spark, root, list_filings(spark, landing, months),
-        lambda labels: scan_filings(spark, landing, [_directory(m) for m in labels]),
-        at or datetime.now(), statuses)
+    return _load(spark, root, list_filings(spark, landing, months),
+                 lambda new, _: read_contents(new), at or datetime.now(), statuses)
 
 
 def filings_table_load(filings: DataFrame, root: str, *, at: datetime | None = None,
@@ -217,42 +245,63 @@ def filings_table_load(filings: DataFrame, root: str, *, at: datetime | None = N
     content) instead of one file each, such as a stored ``scan_filings``."""
     return _load(
         filings.sparkSession, root, filings.select("source_file", "path", "ch_upload"),
-        lambda labels: filings.where(F.col("ch_upload").isin(*labels)),
+        lambda new, labels: L.filter_heavy(filings, new, FILE, labels),
         at or datetime.now(), statuses)
 
 
 def _load(spark: SparkSession, root: str, listed: DataFrame,
-          content_of: Callable[[list[str]], DataFrame], at: datetime,
+          content_of: Callable[[DataFrame, list[str]], DataFrame], at: datetime,
           statuses: Sequence[str] | None) -> DataFrame:
     tables = register_tables(root)
     ledger, batches = tables["file_ledger"], tables["month_ledger"]
-    labels = [r[0] for r in listed.select("ch_upload").distinct().collect()]  # months only
+    found = listed.groupBy("ch_upload", T.label_month(F.col("ch_upload")).alias("m")).count().orderBy("m").collect()
+    odd = [r.ch_upload for r in found if r.m is None]  # months only
+    if odd:
+        raise ValueError(f"not a month label: {odd[:10]}")
+    labels = [r.ch_upload for r in found]
     if not labels:
         return batches.read(spark)
 
+    new = L.new_files(listed, ledger.read(spark, labels), statuses=statuses)
+    counts = {r.ch_upload: r["count"] for r in new.groupBy("ch_upload").count().collect()}
+    busy = [m for m in labels if m in counts]
     started = spark.createDataFrame([(m,) for m in labels], "ch_upload string").select(
         T.filings_batch_id(F.col("ch_upload")).alias("batch_id"), "ch_upload",
         F.lit(fv.FILING_SOURCE).alias("source"),
         T.archive_name(T.label_month(F.col("ch_upload"))).alias("zip_filename"),
         F.lit(at).cast("timestamp").alias("started_at"))
     batches.write(L.start_batches(batches.read(spark), started))
-    try:
-        new = L.new_files(listed, ledger.read(spark, labels), statuses=statuses)
-        busy = [r[0] for r in new.select("ch_upload").distinct().collect()]
-        if busy:
-            done = ledger.read(spark, busy)
-            if statuses is not None:
-                done = done.where(F.col("status").isin(*statuses))
-            content = L.filter_heavy(content_of(busy), done, FILE, "left_anti")
-            _commit(spark, tables, content, busy, at)
-    except Exception:
-        broken = listed.groupBy("ch_upload").agg(F.count(F.lit(1)).cast("int").alias("n")).select(
+
+    def commit(months):
+        own = new.where(F.col("ch_upload").isin(*months))
+        _commit(spark, root, tables, content_of(own, months), months, at)
+
+    broken, first = [], None
+    if busy:
+        try:
+            commit(busy)
+        except Exception as failure:  # the months apart: one must not stop the others
+            for month in busy:
+                try:
+                    if len(busy) == 1:
+                        raise failure
+                    commit([month])
+                except Exception as own:
+                    broken.append(month)
+                    first = first or own
+    if broken:
+        outcome = spark.createDataFrame(
+            [(m, counts[m]) for m in broken], "ch_upload string, n bigint").select(
             T.filings_batch_id(F.col("ch_upload")).alias("batch_id"),
             F.lit("failed").alias("status"), F.lit(0).alias("files_processed"),
-            F.col("n").alias("files_failed"), F.lit(at).cast("timestamp").alias("completed_at"))
-        batches.write(L.finish_batches(batches.read(spark), broken))
-        raise
-    _close_months(spark, tables, labels, at, at)
+            F.col("n").cast("int").alias("files_failed"), F.lit(at).cast("timestamp").alias("completed_at"))
+        batches.write(L.finish_batches(batches.read(spark), outcome))
+    fine = [m for m in labels if m not in broken]
+    if fine:
+        _close_months(spark, tables, fine, at, at)
+    batches.drop_superseded(spark, KEPT_VERSIONS)
+    if first:
+        raise first
     return batches.read(spark)
 
 
@@ -274,14 +323,14 @@ def reprocess_failed(spark: SparkSession, landing: str, root: str, *,
     if not busy:
         return tables["month_ledger"].read(spark)
 
-    folders = [_directory(m) for m in busy]
-    landed = L.filter_heavy(
-        scan_filings(spark, landing, folders), failed, FILE, "left_semi")
-    kept = failed.join(list_filings(spark, landing, folders), FILE, "left_anti")
+    listed = list_filings(spark, landing, [_directory(m) for m in busy])
+    landed = read_contents(listed.join(failed.select(*FILE).distinct(), FILE, "left_semi"))
+    kept = failed.join(listed, FILE, "left_anti")
     content = landed.unionByName(kept.select(*landed.columns))
     attempts = failed.groupBy(*FILE).agg(F.max("attempts").alias("attempts"))
-    _commit(spark, tables, content, busy, at, attempts)
+    _commit(spark, root, tables, content, busy, at, attempts)
     _close_months(spark, tables, busy, None, at)
+    tables["month_ledger"].drop_superseded(spark, KEPT_VERSIONS)
     return tables["month_ledger"].read(spark)
 
 

@@ -16,6 +16,10 @@ from filigree.sources.schemas import register_tables
 from filigree.sources.snapshot_csv import normalise_rows, read_snapshot
 
 
+#: Full versions of a table that a load leaves, for queries that began before it.
+KEPT_VERSIONS = 2
+
+
 class SnapshotRejected(RuntimeError):
     pass
 
@@ -75,6 +79,8 @@ def snapshot_load(spark: SparkSession, path: str, root: str, month: date, *,
             raise SnapshotRejected("rows without a company number")
         companies.write(merge_companies(existing, staged, at))
         tables["staging"].write(staged.limit(0))
+        for table in (companies, tables["staging"], months):
+            table.drop_superseded(spark, KEPT_VERSIONS)
     except Exception:
         finish("failed", 0)
         raise

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from filigree import fixed_values as fv
 
@@ -34,7 +35,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Narrow rows over all cores before work that makes each of them large: a table
-    of one row group would otherwise be one task."""
+    """Narrow rows over all cores before work that makes each of them large, where the
+    table has fewer partitions: one of one row group would otherwise be one task."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(cores, df.rdd.getNumPartitions()))
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def write_filings(df: DataFrame, landing: str, directory: str = "directory",
+                  name: str = "file_name", content: str = "content") -> int:
+    """Write each row as one file of a landing folder; returns how many."""
+
+    def export(batches):
+        import pyarrow as pa
+
+        from filigree.sources.filings import _store
+
+        store, root = _store(landing)
+        made = set()
+        for batch in batches:
+            for folder, file, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if folder not in made:
+                    store.create_dir(f"{root}/{folder}", recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{root}/{folder}/{file}") as out:
+                    out.write(text.encode("utf-8"))
+            yield pa.RecordBatch.from_pydict({"written": [batch.num_rows]})
+
+    written = df.select(directory, name, content).mapInArrow(export, "written bigint")
+    return written.agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]

@@ -11,10 +11,10 @@ from filigree import fixed_values as fv
 from filigree.functions import text as T
 from filigree.plans import filings as J
 from filigree.plans import snapshot as P
-from filigree.registry.base import query, spread, table
+from filigree.registry.base import query, spread, table, write_filings
 from filigree.session import shared_folder
 from filigree.sources import ixbrl
-from filigree.sources.filings import scan_filings, write_filings
+from filigree.sources.filings import scan_filings
 from filigree.sources.schemas import register_tables
 from filigree.sources.snapshot_csv import read_snapshot
 from filigree.sources.tables import Table
@@ -173,14 +173,14 @@ def staging_reload(spark, sf_dir):
 @query("""
 SELECT event_id::VARCHAR AS source_file, strftime(ts, '%b-%y') AS ch_upload,
        CASE event_type WHEN 'error' THEN 'failed' ELSE 'warning' END AS status,
-       CASE WHEN value > 5 THEN props END AS content, left(repeat(props, 300), 2000) AS comment
+       CASE WHEN value > 5 THEN props END AS content, repeat(props, 300) AS comment
 FROM events WHERE event_type IN ('error', 'view')""")
 def quarantine(spark, sf_dir):
     held = register_tables(shared_folder(spark))["quarantine"]
     rows = table(spark, sf_dir, "events").where(F.col("event_type").isin("error", "view")).select(
         F.col("event_id").cast("string").alias("source_file"), F.lit("p").alias("path"),
         F.when(F.col("value") > 5, F.col("props")).alias("content"),
-        T.comment(F.repeat("props", F.lit(300))).alias("comment"), F.lit(0).alias("attempts"),
+        F.repeat("props", F.lit(300)).alias("comment"), F.lit(0).alias("attempts"),
         F.date_format("ts", "MMM-yy").alias("ch_upload"),
         F.when(F.col("event_type") == "error", "failed").otherwise("warning").alias("status"))
     months = [r[0] for r in rows.select("ch_upload").distinct().collect()]
@@ -221,8 +221,8 @@ def snapshot_load(spark, sf_dir):
     done = tables["month_ledger"].read(spark).where("status = 'completed'").agg(
         F.count(F.lit(1)).cast("int").alias("snapshots"))
     return tables["companies"].read(spark).select(
-        "company_number", "company_name", "county", F.col("loaded_at").cast("date").alias("loaded"),
-        F.lit(1).alias("k")).join(done.withColumn("k", F.lit(1)), "k").drop("k")
+        "company_number", "company_name", "county", F.col("loaded_at").cast("date").alias("loaded")
+    ).crossJoin(F.broadcast(done))  # one row
 
 
 def _customer_filings(spark, sf_dir, broken):

@@ -115,10 +115,13 @@ def new_files(spark, sf_dir):
 SELECT doc_id, n_chars FROM documents d WHERE NOT EXISTS (
   SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)""")
 def new_files_by_status(spark, sf_dir):
-    """Only labels of quality 1 count as done; wide rows stay in place."""
+    """Only labels of quality 1 count as done; wide rows stay in place: narrow keys say
+    which are new, month by month (here by language)."""
     ledger = table(spark, sf_dir, "labels").withColumn("status", F.col("quality").cast("string"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    return L.filter_heavy(docs, ledger.where("status = '1'"), ["doc_id"], "left_anti")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
+    new = L.new_files(docs.select("doc_id", "lang"), ledger, ["doc_id"], statuses=("1",))
+    langs = [r[0] for r in new.select("lang").distinct().collect()]
+    return L.filter_heavy(docs, new, ["doc_id", "lang"], langs, "lang").drop("lang")
 
 
 @query("""
@@ -370,13 +373,23 @@ def failed_files(spark, sf_dir):
     name = F.concat(F.col("event_id").cast("string"), F.lit(".html"))
     ledger = e.select(
         F.col("event_id").alias("source_file"), F.date_format("ts", "MMM-yy").alias("ch_upload"),
-        _status().alias("status"), T.error_comment(
-            name, F.lit("props"), F.lit(None), F.repeat("props", F.lit(300))).alias("comment"),
+        _status().alias("status"), T.comment(T.error_comment(
+            name, F.lit("props"), F.lit(None), F.repeat("props", F.lit(300)))).alias("comment"),
         F.col("ts").alias("processed_at"))
     since = F.lit("2024-01-05 12:00:00").cast("timestamp_ntz")
     return L.failed_files(ledger, since).drop("processed_at")
 
 
+@query("""
+WITH w AS (
+  SELECT user_id, 'Format ixt:' || event_type || props || ' not implemented' AS warning,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n, count(*) OVER (PARTITION BY user_id) AS c
+  FROM events WHERE event_type <> 'click')
+SELECT user_id, n, warning FROM w""")
+def numbered_warnings(spark, sf_dir):
+    return L.numbered_warnings(_warnings(spark, sf_dir), ["user_id"], "event_id")
+
+
 @query("""
 WITH w AS (
   SELECT user_id, 'Format ixt:' || event_type || props || ' not implemented' AS warning,
@@ -387,11 +400,15 @@ SELECT user_id, max(c) AS n_warnings, left(
   || ' warning(s) — data SAVED (only flagged fields were skipped):' || chr(10)
   || string_agg('  [' || n || '] ' || warning, chr(10) ORDER BY n), 2000) AS comment
 FROM w GROUP BY user_id""")
-def numbered_warnings(spark, sf_dir):
+def warning_comments(spark, sf_dir):
+    numbered = L.numbered_warnings(_warnings(spark, sf_dir), ["user_id"], "event_id")
+    return L.warning_comments(numbered, ["user_id"], F.col("user_id").cast("string"))
+
+
+def _warnings(spark, sf_dir):
     prefix = F.when(F.col("event_type") == "click", "Format ").otherwise("Format ixt:")
-    w = table(spark, sf_dir, "events").select("user_id", "event_id", F.concat(
+    return table(spark, sf_dir, "events").select("user_id", "event_id", F.concat(
         prefix, "event_type", "props", F.lit(" not implemented")).alias("warning"))
-    return L.numbered_warnings(w, ["user_id"], "event_id")
 
 
 @query("""

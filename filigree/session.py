@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -31,12 +30,10 @@ def build_session(app: str = "filigree", master: str | None = None, **extra) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``. A local one is
-    made only where the setting is absent, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="filigree-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A new folder below the cluster's ``spark.checkpoint.dir``, or below its
+    warehouse, which is shared as well, where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work")
     return f"{base.rstrip('/')}/filigree-{uuid.uuid4().hex}"
 
 

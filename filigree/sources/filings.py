@@ -1,92 +1,114 @@
-"""Filings in a landing folder: ``<landing>/<yyyy-mm>/**/<stem>.html``."""
+"""Filings in a landing folder: ``<landing>/<yyyy-mm>/**/<stem>.html``.
+
+Month folders are listed by one task each, and files are opened by the task that
+needs them, so the driver sees months only and content is never shuffled.
+"""
 
 from __future__ import annotations
 
+import re
+import warnings
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filigree.functions import text as T
 
-FILING_GLOB = "*.{html,xhtml,xml}"
+SUFFIXES = (".html", ".xhtml", ".xml")
+MONTH_FOLDER = re.compile(r"^\d{4}-(0[1-9]|1[0-2])$")
+LISTED = "source_file string, path string, ch_upload string, size bigint"
+#: Bytes of one task's filings; a filing is never cut.
+TASK_BYTES = 128 << 20
 
 
-def _month_dirs(spark: SparkSession, landing: str, months: Iterable[str] | None) -> list[str]:
-    """Landed month folders (yyyy-mm); asked-for months that have not landed are left out."""
+def month_folders(spark: SparkSession, landing: str,
+                  months: Iterable[str] | None = None) -> list[str]:
+    """Landed month folders (yyyy-mm); asked-for months that have not landed are left
+    out. Other folders are reported and not read."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     root = hadoop_path(landing)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
     landed = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory())
+    stray = [d for d in landed if not MONTH_FOLDER.match(d)]
+    if stray:
+        warnings.warn(f"no month folders, not read: {stray[:10]}", stacklevel=2)
     wanted = None if months is None else set(months)
-    return [m for m in landed if wanted is None or m in wanted]
-
+    return [m for m in landed if MONTH_FOLDER.match(m) and (wanted is None or m in wanted)]
 
-def _named(df: DataFrame) -> DataFrame:
-    return df.withColumn("source_file", T.file_stem(F.col("path"))).withColumn(
-        "ch_upload", T.directory_label(F.col("path")))
 
+def _store(location: str):
+    """File system and path in it; Hadoop's names of stores are mapped to Arrow's."""
+    from pyarrow import fs
 
-def drop_invalid_bytes(text: Column) -> Column:
-    """Bytes that are not UTF-8 go, all else stays, real replacement characters too."""
-    mark, private = F.lit("\ufffd"), F.lit("\ue0ff")
-    marked = F.make_valid_utf8(F.replace(text, mark, private))
-    return F.when(F.is_valid_utf8(text), text).otherwise(
-        F.replace(F.replace(marked, mark, F.lit("")), private, mark))
+    if "://" not in location:
+        return fs.LocalFileSystem(), re.sub("^file:", "", location)
+    scheme, rest = location.split("://", 1)
+    return fs.FileSystem.from_uri(f"{ {'s3a': 's3', 's3n': 's3', 'gs': 'gcs'}.get(scheme, scheme)}://{rest}")
 
 
 def list_filings(spark: SparkSession, landing: str,
                  months: Iterable[str] | None = None) -> DataFrame:
-    """source_file, path, ch_upload. The content is not read."""
-    dirs = _month_dirs(spark, landing, months)
-    if not dirs:
-        return spark.createDataFrame([], "source_file string, path string, ch_upload string")
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", FILING_GLOB).option("ignoreMissingFiles", True)
-        .load([f"{landing}/{d}" for d in dirs]).select("path"))
-    return _named(files).select("source_file", "path", "ch_upload")
-
+    """source_file, path, ch_upload, size. The content is not read. The month is that of
+    the folder right below ``landing``, whatever else the path holds."""
+    landing = landing.rstrip("/")
+    folders = month_folders(spark, landing, months)
+    if not folders:
+        return spark.createDataFrame([], LISTED)
+
+    def find(batches):
+        import pyarrow as pa
+        from pyarrow import fs
 
-def scan_filings(spark: SparkSession, landing: str,
-                 months: Iterable[str] | None = None) -> DataFrame:
-    """source_file, path, ch_upload, content: one row per file, bytes that are not
-    UTF-8 dropped, files that vanished after listing ignored."""
-    dirs = _month_dirs(spark, landing, months)
-    if not dirs:
-        return spark.createDataFrame(
-            [], "source_file string, path string, ch_upload string, content string")
-    files = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", FILING_GLOB)
-        .option("ignoreMissingFiles", True)
-        .text([f"{landing}/{d}" for d in dirs], wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"),
-                drop_invalid_bytes(F.col("value")).alias("content")))
-    return _named(files).select("source_file", "path", "ch_upload", "content")
-
-
-def write_filings(df: DataFrame, landing: str, directory: str = "directory",
-                  name: str = "file_name", content: str = "content") -> int:
-    """Write each row as one file of the landing folder, from the tasks that hold
-    the rows; returns how many. Any store that Arrow knows will do."""
-
-    def export(batches):
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                store, base = _store(f"{landing}/{folder}")
+                found = [i for i in store.get_file_info(fs.FileSelector(base, recursive=True))
+                         if i.is_file and i.base_name.endswith(SUFFIXES)
+                         and not i.base_name.startswith((".", "_"))]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([f"{landing}/{folder}" + i.path[len(base):] for i in found], pa.string()),
+                    pa.array([folder] * len(found), pa.string()),
+                    pa.array([i.size for i in found], pa.int64())], ["path", "folder", "size"])
+
+    rows = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(len(folders), "folder")
+    return rows.mapInArrow(find, "path string, folder string, size bigint").select(
+        T.file_stem(F.col("path")).alias("source_file"), "path",
+        T.folder_label(F.col("folder")).alias("ch_upload"), "size")
+
+
+def read_contents(listed: DataFrame) -> DataFrame:
+    """source_file, path, ch_upload, content of listed filings, opened in tasks of about
+    ``TASK_BYTES``. Bytes that are not UTF-8 are dropped, files that vanished after
+    listing are left out."""
+    spark = listed.sparkSession
+    size = listed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, size // TASK_BYTES + 1)
+
+    def read(batches):
         import pyarrow as pa
-        from pyarrow import fs as arrow_fs
 
-        store, root = arrow_fs.FileSystem.from_uri(landing)
-        made = set()
         for batch in batches:
-            rows = zip(*(batch.column(i).to_pylist() for i in range(3)))
-            for folder, file, text in rows:
-                if folder not in made:
-                    store.create_dir(f"{root}/{folder}", recursive=True)
-                    made.add(folder)
-                with store.open_output_stream(f"{root}/{folder}/{file}") as out:
-                    out.write(text.encode("utf-8"))
-            yield pa.RecordBatch.from_pydict({"written": [batch.num_rows]})
-
-    written = df.select(directory, name, content).mapInArrow(export, "written bigint")
-    return written.agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]
+            for row in batch.to_pylist():
+                path = row["path"]
+                store, inner = _store(path)
+                try:
+                    with store.open_input_stream(inner) as stream:
+                        text = stream.read().decode("utf-8", "ignore")
+                except FileNotFoundError:
+                    continue
+                yield pa.RecordBatch.from_pylist(
+                    [{"source_file": row["source_file"], "path": path,
+                      "ch_upload": row["ch_upload"], "content": text}],
+                    pa.schema([(c, pa.string()) for c in ("source_file", "path", "ch_upload", "content")]))
+
+    return listed.select("source_file", "path", "ch_upload").repartition(int(tasks)).mapInArrow(
+        read, "source_file string, path string, ch_upload string, content string")
+
+
+def scan_filings(spark: SparkSession, landing: str,
+                 months: Iterable[str] | None = None) -> DataFrame:
+    """source_file, path, ch_upload, content: one row per file of the landing folder."""
+    return read_contents(list_filings(spark, landing, months))

@@ -6,14 +6,17 @@ formats and numbers included, is a Column expression on the element rows.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as types_
 
+from filigree import fixed_values as fv
 from filigree.functions import text as T
 from filigree.functions import values
 
@@ -32,6 +35,20 @@ _FACTS = ("nonfraction", "nonnumeric")
 _NOTABLE = frozenset(("html", "xbrl", "exclude", "context", "continuation", *_DATES, *_FACTS))
 
 
+# xs:date or xs:dateTime, and a number once blanks and group marks are gone
+_DAY = re.compile(r"(\d{4})-(\d{2})-(\d{2})(?:T\d{2}:\d{2}:\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:\d{2})?")
+_NUMBER = re.compile(r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)")
+
+
+def _day(text):
+    """The day of a context date, None if it is none."""
+    match = _DAY.fullmatch(text)
+    try:
+        return date(*map(int, match.groups())).isoformat() if match else None
+    except ValueError:
+        return None
+
+
 def _local(name):
     return name.rsplit(":", 1)[-1].lower()
 
@@ -43,6 +60,7 @@ class _Collector:
         self.elements, self.contexts, self.continued = [], {}, {}
         self.kinds, self.attribute_names = {}, {}  # short forms of names seen so far
         self.open, self.context, self.excluded, self.rooted = [], None, 0, False
+        self.odd_dates = []
 
     def start(self, name, attrs):
         kind = self.kinds.get(name)
@@ -108,7 +126,9 @@ class _Collector:
         elif target is not None:
             target["text"] = text
         elif self.context is not None:
-            self.context[kind] = text.strip()[:10] or None
+            self.context[kind] = _day(text.strip())
+            if text.strip() and self.context[kind] is None:
+                self.odd_dates.append(text.strip())
 
     def finish(self):
         while self.open:
@@ -130,7 +150,7 @@ class _Collector:
             element["end_date"] = dates.get("enddate")
             scale = element["scale"]
             element["scale"] = int(scale) if scale and scale.strip().lstrip("+-").isdigit() else None
-        return self.elements
+        return self.elements, [f"Date {d} not understood" for d in self.odd_dates]
 
 
 def _read_strict(content):
@@ -175,8 +195,8 @@ def _read_loose(content):
     return collector.finish()
 
 
-def read_elements(content: str) -> list[dict]:
-    """Tagged elements of one document in document order, dates resolved."""
+def read_elements(content: str) -> tuple[list[dict], list[str]]:
+    """Tagged elements of one document in document order, dates resolved, and warnings."""
     from xml.parsers import expat
 
     text = content.lstrip("﻿ \t\r\n")
@@ -198,21 +218,32 @@ def parse_filings(filings: DataFrame, tags: Iterable[str] | None = None,
     """
     wanted = None if tags is None else frozenset(tags)
     known = values.KNOWN_FORMATS
+    dots, commas = frozenset(fv.DOT_DECIMAL_FORMATS), frozenset(fv.COMMA_DECIMAL_FORMATS)
     out = types_.StructType(filings.drop(content).schema.fields).add(
         content, types_.StringType())
     out = out.add("elements", types_.StructType.fromDDL(f"x array<{ELEMENT}>")["x"].dataType)
     out = out.add("warnings", types_.ArrayType(types_.StringType())).add(
         "error", types_.StringType())
 
+    def no_number(e):
+        """Whether a numeric element holds text that its format can't read."""
+        form, body = e["format"] and _local(e["format"]), "".join((e["text"] or "").split())
+        if e["kind"] != "numeric" or not body or not (form is None or form in dots or form in commas):
+            return False
+        if form in commas:
+            return not _NUMBER.fullmatch(body.replace(".", "").replace(",", "."))
+        return body not in ("-", "–", "—") and not _NUMBER.fullmatch(body.replace(",", ""))
+
     def parse_one(text):
         try:
-            elements = read_elements(text or "")
+            elements, odd_dates = read_elements(text or "")
         except Exception as failure:  # one bad file must not stop its batch
             return [], [], f"{type(failure).__name__}: {failure}"
         odd = [e["format"] for e in elements if e["format"] and _local(e["format"]) not in known]
         rows = [tuple(e[f] for f in _FIELDS) for e in elements
                 if wanted is None or e["name"].rsplit(":", 1)[-1] in wanted]
-        return rows, [f"Format {f} not implemented" for f in odd], None
+        unread = [f"Number {e['text'].strip()} not understood" for e in elements if no_number(e)]
+        return rows, [f"Format {f} not implemented" for f in odd] + odd_dates + unread, None
 
     def parse(batches):
         import pyarrow as pa

@@ -33,6 +33,7 @@ MONTH_LEDGER = (
 QUARANTINE = (
     "source_file string, path string, content string, comment string, attempts int, "
     "ch_upload string, status string")
+WARNINGS = "source_file string, n int, warning string, ch_upload string"
 
 
 def register_tables(root: str) -> dict[str, Table]:
@@ -49,5 +50,6 @@ def register_tables(root: str) -> dict[str, Table]:
         "fields": table("fields", FIELDS, by_month, ("company_number",)),
         "file_ledger": table("file_ledger", FILE_LEDGER, by_month, ("source_file",)),
         "month_ledger": table("month_ledger", MONTH_LEDGER),
+        "warnings": table("warnings", WARNINGS, by_month, ("source_file",)),
         "quarantine": table("quarantine", QUARANTINE, ("ch_upload", "status")),
     }

@@ -1,8 +1,8 @@
 """Parquet tables that are never overwritten in place.
 
-Each write makes a new version directory. Spark's own ``_SUCCESS`` marker commits
-it, so readers see all of a write or nothing, and a lost driver leaves the table
-as it was. A write of some months replaces just those months; the others are read
+Each write makes a new version directory. A file ``_COMMITTED``, made when all of it
+is there, commits it, so readers see all of a write or nothing, whatever Spark's own
+success marker is set to, and a lost driver leaves the table as it was. A write of some months replaces just those months; the others are read
 from the newest older version that holds them.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as types_
 
 _VERSION = re.compile(r"^v(\d{6})-(full|part)$")
+COMMITTED = "_COMMITTED"
 _LABEL = re.compile(r"^[A-Za-z0-9-]+$")
 
 
@@ -52,7 +53,7 @@ class Table:
             if not match:
                 continue
             inside = self._names(spark, f"{self.path}/{name}")
-            if "_SUCCESS" not in inside:
+            if COMMITTED not in inside:
                 continue
             found.append((int(match[1]), name, inside))
             if match[2] == "full":
@@ -105,16 +106,20 @@ class Table:
         if self.sort_by:
             rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
         rows.write.mode("append").partitionBy(*self.partition_by).parquet(target)
+        fs.create(hadoop_path(f"{target}/{COMMITTED}"), True).close()
 
     def compact(self, spark: SparkSession) -> int:
         """One full version instead of many partial ones; returns how many went."""
         self.write(self.read(spark))
         return self.drop_superseded(spark)
 
-    def drop_superseded(self, spark: SparkSession) -> int:
-        """Delete versions older than the newest full one."""
+    def drop_superseded(self, spark: SparkSession, keep: int = 1) -> int:
+        """Delete versions older than the newest ``keep`` committed full ones, which
+        nothing reads but a query that began before the last writes."""
         fs, hadoop_path = self._fs(spark)
-        oldest = min((n for n, _, _ in self._versions(spark)), default=0)
+        full = [int(m[1]) for m in map(_VERSION.match, self._names(spark, self.path))
+                if m and m[2] == "full" and COMMITTED in self._names(spark, f"{self.path}/{m[0]}")]
+        oldest = sorted(full)[-keep] if len(full) >= keep else 0
         old = [m[0] for m in map(_VERSION.match, self._names(spark, self.path))
                if m and int(m[1]) < oldest]
         for name in old:

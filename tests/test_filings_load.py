@@ -3,10 +3,12 @@
 import os
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from filigree.plans import filings as J
 from filigree.sources.schemas import register_tables
+from filigree.sources.tables import Table
 
 T1, T2, T3 = datetime(2025, 1, 1), datetime(2025, 2, 1), datetime(2025, 3, 1)
 
@@ -161,3 +163,89 @@ def test_one_broken_filing_keeps_its_neighbours(spark):
     parsed = J.parse(df)
     assert parsed.where(F.col("error").isNotNull()).count() == 1
     assert J.financials(J.fact_table(parsed)).count() == 5
+
+
+def test_label_is_that_of_the_folder_below_the_landing_root(spark, tmp_path):
+    landing, root = tmp_path / "2019-07" / "landing", str(tmp_path / "root")
+    land(landing, "2021-01", "Prod224_0086_00000001_20200229.html", filing())
+    land(landing, "incoming", "Prod224_0086_00000002_20200229.html", filing())
+    land(landing, "2021-13", "Prod224_0086_00000003_20200229.html", filing())
+    with pytest.warns(UserWarning, match="incoming"):
+        J.filings_load(spark, str(landing), root, at=T1)
+    tables = register_tables(root)
+    assert rows(tables["month_ledger"], spark, "batch_id", "status", "files_processed") == [("accounts_Jan-21", "completed", 1)]
+    assert rows(tables["file_ledger"], spark, "source_file", "ch_upload") == [("Prod224_0086_00000001_20200229", "Jan-21")]
+
+
+def test_known_filings_are_not_opened(spark, tmp_path, monkeypatch):
+    landing, root = tmp_path / "landing", str(tmp_path / "root")
+    known, new = "Prod224_0086_00000001_20200229.html", "Prod224_0086_00000002_20200229.html"
+    land(landing, "2021-01", known, filing())
+    J.filings_load(spark, str(landing), root, at=T1)
+    land(landing, "2021-01", new, filing())
+    opened, read = [], J.read_contents
+
+    def spy(listed):
+        opened.extend(r.path for r in listed.collect())
+        return read(listed)
+
+    monkeypatch.setattr(J, "read_contents", spy)
+    J.filings_load(spark, str(landing), root, at=T2)
+    assert [os.path.basename(p) for p in opened] == [new]
+    assert register_tables(root)["financials"].read(spark).count() == 2
+
+
+def test_months_fail_apart_and_leave_finished_ones(spark, tmp_path, monkeypatch):
+    landing, root = tmp_path / "landing", str(tmp_path / "root")
+    land(landing, "2021-01", "Prod224_0086_00000001_20200229.html", filing())
+    J.filings_load(spark, str(landing), root, at=T1)
+    land(landing, "2021-02", "Prod224_0087_00000002_20200229.html", filing())
+    land(landing, "2021-03", "Prod224_0088_00000003_20200229.html", filing())
+    whole = J._commit_in
+
+    def breaks(spark_, work, tables, filings, months, *rest):
+        if "Feb-21" in months:
+            spark_.range(1).write.parquet(f"{work}/parsed")
+            raise RuntimeError("broken month")
+        return whole(spark_, work, tables, filings, months, *rest)
+
+    monkeypatch.setattr(J, "_commit_in", breaks)
+    with pytest.raises(RuntimeError, match="broken month"):
+        J.filings_load(spark, str(landing), root, at=T2)
+    tables = register_tables(root)
+    assert rows(tables["month_ledger"], spark, "ch_upload", "status", "files_processed", "files_failed") == [
+        ("Feb-21", "failed", 0, 1), ("Jan-21", "completed", 0, 0), ("Mar-21", "completed", 1, 0)]
+    assert os.listdir(f"{root}/_work") == []  # nothing is left, of the failed load either
+
+
+def test_whole_comments_and_all_warnings_are_kept(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "root")
+    odd = "".join(f'<ix:nonNumeric name="uk:X{k}" format="ixt9:odd{k}" contextRef="c">x</ix:nonNumeric>' for k in range(200))
+    odd += '<ix:nonFraction name="uk:Debtors" contextRef="d">1d</ix:nonFraction>'
+    odd += '<xbrli:context xmlns:xbrli="x" id="d"><xbrli:instant>31 December 2020</xbrli:instant></xbrli:context>'
+    land(landing, "2021-01", "Prod224_0086_00000001_20200229.html", filing(extra=odd))
+    J.filings_load(spark, str(landing), root, at=T1)
+    tables = register_tables(root)
+    (held,) = tables["quarantine"].read(spark).collect()
+    (entry,) = tables["file_ledger"].read(spark).collect()
+    assert held.comment.endswith("[200] Format ixt9:odd199 not implemented")
+    assert entry.comment == held.comment[:2000] and entry.status == "warning"
+    told = rows(tables["warnings"], spark, "n", "warning")
+    assert len(told) == 202 and told[-2:] == [(201, "Date 31 December 2020 not understood"), (202, "Number 1d not understood")]
+    assert [r.value for r in tables["financials"].read(spark).where("metric = 'debtors'").collect()] in ([], [None])
+
+
+def test_tables_without_spark_success_marks(spark, tmp_path):
+    table = Table(f"{tmp_path}/t", "a bigint")
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(key, "false")
+    try:
+        for n in (1, 2, 3):
+            table.write(spark.range(n).toDF("a"))
+    finally:
+        conf.unset(key)
+    assert table.read(spark).count() == 3
+    assert table.drop_superseded(spark, 2) == 1 and table.read(spark).count() == 3
+    os.remove(f"{tmp_path}/t/v000003-full/_COMMITTED")  # not committed: not there
+    assert table.read(spark).count() == 2

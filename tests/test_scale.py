@@ -64,7 +64,9 @@ def test_warnings_of_one_hot_file(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") < 2500, "hot").otherwise(F.concat(F.lit("f"), F.col("id").cast("string"))).alias("f"),
         F.col("id").alias("ord"), F.lit("ixt").alias("warning"))
-    got = {r.f: r for r in L.numbered_warnings(df, ["f"], "ord").collect()}
+    numbered = L.numbered_warnings(df, ["f"], "ord")
+    assert sorted(r.n for r in numbered.where("f = 'hot'").collect()) == list(range(1, 2501))
+    got = {r.f: r for r in L.warning_comments(numbered, ["f"], F.col("f")).collect()}
     whole = (
         "FILE: hot\nParsed with 2500 warning(s) — data SAVED (only flagged fields were skipped):\n"
         + "\n".join(f"  [{i + 1}] ixt" for i in range(2500)))

@@ -110,11 +110,11 @@ def test_snapshot_job(spark, tmp_path):
 def test_documents_other_than_inline_html():
     plain = """<xbrl xmlns:u="x"><context id="a"><period><instant>2020-01-31T00:00:00</instant></period></context>
     <u:Debtors contextRef="a" unitRef="GBP" decimals="0">12</u:Debtors><u:AccountsType contextRef="a">Full</u:AccountsType></xbrl>"""
-    numeric, text = ixbrl.read_elements(plain)
+    (numeric, text), odd = ixbrl.read_elements(plain)
     assert (numeric["kind"], numeric["name"], numeric["text"], numeric["instant"]) == ("numeric", "u:Debtors", "12", "2020-01-31")
-    assert (text["kind"], text["text"]) == ("nonnumeric", "Full")
+    assert (text["kind"], text["text"], odd) == ("nonnumeric", "Full", [])
     loose = "<html><body><p>x<br>&nbsp;<ix:nonFraction name=u:Debtors contextRef=a xsi:nil=true></ix:nonFraction><p>"
-    (nil,) = ixbrl.read_elements(loose)
+    (nil,), _ = ixbrl.read_elements(loose)
     assert nil["text"] is None and nil["name"] == "u:Debtors"
     with pytest.raises(ValueError):
         ixbrl.read_elements("words only")
