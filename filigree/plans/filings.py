@@ -22,7 +22,7 @@ from filigree.functions.sections import with_sections
 from filigree.operators import facts as X
 from filigree.operators import ledger as L
 from filigree.operators.dedupe import latest_wins, recency
-from filigree.operators.upserts import filing_order, upsert_latest
+from filigree.operators.upserts import filing_order, upsert_changes
 from filigree.session import small_batches
 from filigree.sources.filings import list_filings, read_contents, scan_filings  # noqa: F401
 from filigree.sources.ixbrl import facts as fact_rows
@@ -169,10 +169,23 @@ def _commit_in(spark, work, tables, filings, months, at, attempts) -> None:
 
     def upsert(name, rows, keys, *then):
         table = tables[name]
-        new = latest_wins(rows, keys, recency("ch_upload", "filing_date", "source_file", *then))
         existing = table.read(spark)
-        table.write(upsert_latest(
-            existing, stamped(new).select(*existing.columns), keys, filing_order()))
+        new = latest_wins(rows, keys, recency("ch_upload", "filing_date", "source_file", *then))
+        new = _stored(stamped(new).select(*existing.columns), f"{work}/{name}")
+        won = _stored(upsert_changes(existing, new, keys, filing_order()), f"{work}/{name}-won")
+        rows = new.join(won, [new[k].eqNullSafe(won[k]) for k in keys]).select(
+            *[F.col("_first_seen").alias(c) if c == "loaded_at" else new[c] for c in existing.columns])
+        left = [r[0] for r in won.select("_old_month").where("_old_month IS NOT NULL").distinct().collect()]
+        touched = sorted({*left, *(r[0] for r in rows.select("ch_upload").distinct().collect())})
+        # months keep their rows where they are; a month's replaced keys are few enough to send
+        for month in touched:
+            kept = table.read(spark, [month])
+            if month in left:
+                gone = won.where(F.col("_old_month") == month).select(*[F.col(k).alias(f"_{k}") for k in keys])
+                kept = kept.join(F.broadcast(gone), [kept[k].eqNullSafe(gone[f"_{k}"]) for k in keys], "left_anti")
+            rows = rows.unionByName(kept)
+        if touched:
+            table.write(rows, touched, in_place=True)
         table.drop_superseded(spark, KEPT_VERSIONS)
 
     replace("financials", stamped(financials(facts)))

@@ -86,8 +86,11 @@ class Table:
             merged = merged.unionByName(part)
         return merged.select(*schema.fieldNames())
 
-    def write(self, df: DataFrame, months: Iterable[str] | None = None) -> None:
-        """Commit ``df`` as the whole table, or as the new content of ``months``."""
+    def write(self, df: DataFrame, months: Iterable[str] | None = None,
+              in_place: bool = False) -> None:
+        """Commit ``df`` as the whole table, or as the new content of ``months``. With
+        ``in_place``, rows are written by the tasks that hold them, not dealt out and
+        sorted anew: for months that mostly stay as they are."""
         spark = df.sparkSession
         fs, hadoop_path = self._fs(spark)
         used = [int(m[1]) for m in map(_VERSION.match, self._names(spark, self.path)) if m]
@@ -100,10 +103,10 @@ class Table:
             fs.mkdirs(hadoop_path(f"{target}/{self.partition_by[0]}={month}"))
 
         rows = df.select(*_schema(self.schema).fieldNames())
-        if self.partition_by:
+        if self.partition_by and not in_place:
             # rebalance splits a month that holds most of the rows
             rows = rows.hint("rebalance", *[F.col(c) for c in self.partition_by])
-        if self.sort_by:
+        if self.sort_by and not in_place:
             rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
         rows.write.mode("append").partitionBy(*self.partition_by).parquet(target)
         fs.create(hadoop_path(f"{target}/{COMMITTED}"), True).close()
@@ -114,14 +117,20 @@ class Table:
         return self.drop_superseded(spark)
 
     def drop_superseded(self, spark: SparkSession, keep: int = 1) -> int:
-        """Delete versions older than the newest ``keep`` committed full ones, which
-        nothing reads but a query that began before the last writes."""
+        """Delete versions that nothing reads but queries that began before the last
+        writes: those older than the newest ``keep`` full ones, and those whose months
+        the ``keep`` versions before them at least all hold anew."""
         fs, hadoop_path = self._fs(spark)
-        full = [int(m[1]) for m in map(_VERSION.match, self._names(spark, self.path))
-                if m and m[2] == "full" and COMMITTED in self._names(spark, f"{self.path}/{m[0]}")]
-        oldest = sorted(full)[-keep] if len(full) >= keep else 0
-        old = [m[0] for m in map(_VERSION.match, self._names(spark, self.path))
-               if m and int(m[1]) < oldest]
+        full, held, old = 0, [], []
+        found = [m for m in map(_VERSION.match, self._names(spark, self.path)) if m]
+        for match in sorted(found, key=lambda m: m[1], reverse=True):
+            inside = self._names(spark, f"{self.path}/{match[0]}")
+            own = {d for d in inside if "=" in d}
+            if full >= keep or own and all(sum(d in h for h in held) >= keep for d in own):
+                old.append(match[0])
+            elif COMMITTED in inside:
+                full += match[2] == "full"
+                held.append(own)
         for name in old:
             fs.delete(hadoop_path(f"{self.path}/{name}"), True)
         return len(old)
