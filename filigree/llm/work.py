@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +29,23 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import this package from where it is; on a
+    cluster it is installed or sent with the job."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Hand at most ``rows`` whole texts at a time to Python workers. The setting is
     read when a result is computed, so it has to stay set."""
+    importable(spark)
     if int(spark.conf.get(BATCH)) > rows:
         spark.conf.set(BATCH, str(rows))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
