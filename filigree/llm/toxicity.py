@@ -31,6 +31,8 @@ HIDDEN, WIDTH = 16, 16
 WORDS, GRAMS = 1 << 13, 1 << 14
 #: Words whose inputs a Python worker remembers (384 bytes each).
 REMEMBERED = 200_000
+#: Words whose inputs are laid out at a time.
+PART = 20_000
 STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -65,6 +67,18 @@ def inputs(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word, what[order], np.searchsorted(who[order], np.arange(len(plain)))
 
 
+def inputs_in_parts(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``inputs``, with little memory beside the result."""
+    word, gram, first, n = [], [np.zeros(0, np.int32)], [], 0
+    for i in range(0, max(len(words), 1), PART):
+        w, g, f = inputs(words[i:i + PART])
+        word.append(w)
+        gram.append(g.astype(np.int32))
+        first.append(f + n)
+        n += len(g)
+    return np.concatenate(word), np.concatenate(gram), np.concatenate(first)
+
+
 def windows(n: int) -> np.ndarray:
     """Where the windows of ``n`` words begin; one window if there are few or none."""
     return np.arange(0, max(n - LENGTH + STRIDE - 1, 0) + 1, STRIDE)
@@ -201,7 +215,7 @@ def train(texts: list[str], labels: list[int], weights: list[float], rounds: int
     texts, labels, weights = [*texts, *[""] * 20], [*labels, *[0] * 20], [*weights, *[1.0] * 20]  # nothing is clean
     number: dict[str, int] = {}
     docs = [laid_out(np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int64)) for t in texts]
-    feats = inputs(list(number))
+    feats = inputs_in_parts(list(number))
     y, weight = np.array(labels, np.float32), np.array(weights)
     at, owner = np.concatenate(docs), np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     held = np.arange(len(docs)) % 5 == 4  # for calibration
@@ -210,7 +224,12 @@ def train(texts: list[str], labels: list[int], weights: list[float], rounds: int
     step = 0
 
     def worst():
-        gates = net.gates(net.vectors(*feats))
+        word, gram, first = feats
+        stops, parts = np.append(first, len(gram)), []
+        for i in range(0, len(word), PART):  # the grams of all words at once would fill the driver
+            j = min(i + PART, len(word))
+            parts.append(net.gates(net.vectors(word[i:j], gram[stops[i]:stops[j]], first[i:j] - stops[i]))[:-1])
+        gates = np.concatenate([*parts, np.zeros((1, 6 * HIDDEN), np.float32)])
         logit = np.concatenate([net.run(gates, at[i:i + 4096]) for i in range(0, len(at), 4096)])
         order = np.lexsort((-logit, owner))
         return logit, order[np.append(True, np.diff(owner[order]) > 0)]
