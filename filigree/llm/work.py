@@ -6,6 +6,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -29,6 +30,15 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a row number behind, and that column's name. It is written, so every
+    reading gives a row the same number."""
+    name = "_row"
+    while name in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import this package from where it is; on a
     cluster it is installed or sent with the job."""
