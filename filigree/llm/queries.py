@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("tokenids", "pieces", "simhash", "pii", "toxicity", "paragraphs", "webpages", "decontaminate", "vectors", "secrets")
+MODULES = ("tokenids", "pieces", "simhash", "pii", "toxicity", "paragraphs", "webpages", "decontaminate", "vectors", "secrets",
+           "spelling", "tokencounts", "negatives")
 
 
 def queries() -> dict:
