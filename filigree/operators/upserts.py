@@ -39,26 +39,6 @@ def upsert_latest(existing: DataFrame, new: DataFrame, keys: Sequence[str],
     )
 
 
-def upsert_changes(existing: DataFrame, new: DataFrame, keys: Sequence[str],
-                   order: Sequence[Column], first_seen: str = "loaded_at",
-                   month: str = "ch_upload") -> DataFrame:
-    """What ``upsert_latest`` would change, decided on narrow columns: per key of ``new``
-    that wins, ``_old_month`` (where the row it replaces is, NULL if there is none) and
-    ``_first_seen``. ``existing`` is read for keys, order and times only. Keys of ``new``
-    are distinct."""
-    keys = list(keys)
-
-    def narrow(df, side):
-        return df.select(*keys, F.struct(*order, F.col(first_seen)).alias(f"_{side}"),
-                         F.col(month).alias(f"_{side}_month"), F.col(first_seen).alias(f"_{side}_seen"))
-
-    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
-    both = narrow(new, "new").alias("n").join(narrow(existing, "old").alias("o"), same, "left")
-    return both.where(F.col("_old_seen").isNull() & F.col("_old_month").isNull() | (F.col("_new") >= F.col("_old"))).select(
-        *[F.col(f"n.{k}").alias(k) for k in keys], "_old_month",
-        F.least("_old_seen", "_new_seen").alias("_first_seen"))
-
-
 def filing_order(*then: str) -> list[Column]:
     """Order of filings for ``upsert_latest``: month, filing date, file name."""
     return [label_month(F.col("ch_upload")).alias("_month"), F.col("filing_date"),

@@ -1,15 +1,18 @@
 """Load of filings of any number of months at once.
 
 Filings are read and parsed once, into one row per filing in a working table.
-Everything after that reads narrow columns of that table. Result tables are
-written before the ledger, and each write replaces what the same files gave
-earlier, so a run that is cut off is simply run again.
+Everything after that reads narrow columns of that table. All tables of a load change
+by one commit: rows are added, and where files are loaded again, their keys say which
+earlier rows no longer count. So a load writes as much as its files give, a reader
+sees all of it or nothing, and a run that is cut off is simply run again.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,17 +25,17 @@ from filigree.functions.sections import with_sections
 from filigree.operators import facts as X
 from filigree.operators import ledger as L
 from filigree.operators.dedupe import latest_wins, recency
-from filigree.operators.upserts import filing_order, upsert_changes
 from filigree.session import small_batches
 from filigree.sources.filings import list_filings, read_contents, scan_filings  # noqa: F401
 from filigree.sources.ixbrl import facts as fact_rows
 from filigree.sources.ixbrl import parse_filings
 from filigree.sources.schemas import register_tables
+from filigree.sources.tables import State
 
 DOC = ("path", "source_file", "ch_upload")
 FILE = list(L.FILE_KEYS)
-#: Full versions of a table that a load leaves, for queries that began before it.
-KEPT_VERSIONS = 2
+#: Commits that a load leaves, for queries that began before it.
+KEPT_COMMITS = 8
 TAGS = (*fv.METRIC_TAGS, *fv.FIELD_TAGS, fv.DIRECTOR_TAG)
 
 
@@ -137,25 +140,32 @@ def filled_files(parsed: DataFrame, facts: DataFrame, financial: DataFrame) -> D
 
 # ---- writing -------------------------------------------------------------------
 
-def replace_files(existing: DataFrame, new: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of other files, plus ``new``: loading a file again changes nothing."""
-    return existing.join(files.select(*FILE), FILE, "left_anti").unionByName(
-        new.select(*existing.columns))
+#: Tables whose rows belong to a file: loading it again replaces them.
+OF_FILES = ("financials", "fields", "warnings", "quarantine", "file_ledger")
 
 
-def _commit(spark: SparkSession, root: str, tables: dict, filings: DataFrame,
-            months: Sequence[str], at: datetime, attempts: DataFrame | None = None) -> None:
-    """Parse ``filings`` and write all they give. What is kept meanwhile goes below
-    ``root`` and is deleted, also when the load fails."""
+@contextmanager
+def _working(spark: SparkSession, root: str):
+    """A folder below ``root`` for what a load keeps meanwhile; it is deleted, also when
+    the load fails."""
     work = f"{root.rstrip('/')}/_work/{uuid.uuid4().hex}"
     try:
-        _commit_in(spark, work, tables, filings, months, at, attempts)
+        yield work
     finally:
         path = spark._jvm.org.apache.hadoop.fs.Path(work)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _commit_in(spark, work, tables, filings, months, at, attempts) -> None:
+def _commit(spark: SparkSession, root: str, tables: dict, filings: DataFrame,
+            months: Sequence[str], at: datetime, seen: State | None = None,
+            attempts: DataFrame | None = None) -> None:
+    """Parse ``filings`` and commit all they give at once."""
+    with _working(spark, root) as work:
+        _commit_in(spark, work, tables, filings, months, at, seen, attempts)
+
+
+def _commit_in(spark, work, tables, filings, months, at, seen, attempts) -> None:
+    """``seen`` is the state in which no file was known; None if files may be known."""
     # parsed once, values converted once: what follows reads these two tables
     with small_batches(spark):
         parsed = _stored(parse(filings), f"{work}/parsed")
@@ -163,36 +173,9 @@ def _commit_in(spark, work, tables, filings, months, at, attempts) -> None:
     files = parsed.select(*FILE).distinct()
     stamped = lambda df: df.withColumn("loaded_at", F.lit(at).cast("timestamp"))
 
-    def replace(name, rows):
-        table = tables[name]
-        table.write(replace_files(table.read(spark, months), rows, files), months)
-
-    def upsert(name, rows, keys, *then):
-        table = tables[name]
-        existing = table.read(spark)
-        new = latest_wins(rows, keys, recency("ch_upload", "filing_date", "source_file", *then))
-        new = _stored(stamped(new).select(*existing.columns), f"{work}/{name}")
-        won = _stored(upsert_changes(existing, new, keys, filing_order()), f"{work}/{name}-won")
-        rows = new.join(won, [new[k].eqNullSafe(won[k]) for k in keys]).select(
-            *[F.col("_first_seen").alias(c) if c == "loaded_at" else new[c] for c in existing.columns])
-        left = [r[0] for r in won.select("_old_month").where("_old_month IS NOT NULL").distinct().collect()]
-        touched = sorted({*left, *(r[0] for r in rows.select("ch_upload").distinct().collect())})
-        # months keep their rows where they are; a month's replaced keys are few enough to send
-        for month in touched:
-            kept = table.read(spark, [month])
-            if month in left:
-                gone = won.where(F.col("_old_month") == month).select(*[F.col(k).alias(f"_{k}") for k in keys])
-                kept = kept.join(F.broadcast(gone), [kept[k].eqNullSafe(gone[f"_{k}"]) for k in keys], "left_anti")
-            rows = rows.unionByName(kept)
-        if touched:
-            table.write(rows, touched, in_place=True)
-        table.drop_superseded(spark, KEPT_VERSIONS)
-
-    replace("financials", stamped(financials(facts)))
-    replace("fields", fields(parsed, facts))
-    replace("warnings", all_warnings(parsed))
-    upsert("directors", directors(facts), ["company_number", "director_name"])
-    upsert("reports", reports(parsed, facts), ["company_number", "section"], "ord")
+    def newest(name, rows, *then):
+        return stamped(latest_wins(rows, list(tables[name].merge.keys),
+                                   recency("ch_upload", "filing_date", "source_file", *then)))
 
     status = outcomes(parsed)
     held = status.where(F.col("status") != "success")
@@ -201,9 +184,16 @@ def _commit_in(spark, work, tables, filings, months, at, attempts) -> None:
     else:
         held = held.join(attempts, FILE, "left").withColumn(
             "attempts", F.coalesce(F.col("attempts"), F.lit(0)) + 1)
-    replace("quarantine", held)
-
-    filled = filled_files(parsed, facts, tables["financials"].read(spark, months))
+    results = {
+        "reports": newest("reports", reports(parsed, facts), "ord"),
+        "financials": stamped(financials(facts)), "fields": fields(parsed, facts),
+        "directors": newest("directors", directors(facts)),
+        "warnings": all_warnings(parsed), "quarantine": held}
+    # they depend on the two tables only, so a small load does not wait for each in turn
+    with ThreadPoolExecutor(len(results)) as pool:
+        made = dict(zip(results, pool.map(lambda n: tables[n].stage(results[n]), results)))
+
+    filled = filled_files(parsed, facts, tables["financials"].rows_of(spark, [made["financials"]]))
     entries = (
         status.join(filled.withColumn("_filled", F.lit(1)), FILE, "left")
         .select(*FILE, "status", T.comment(T.file_comment(
@@ -211,8 +201,37 @@ def _commit_in(spark, work, tables, filings, months, at, attempts) -> None:
             F.lit(at).cast("timestamp").alias("processed_at")))
     # one entry per file and month, also when a month holds a file name twice
     entries = latest_wins(entries, FILE, [F.col("status").asc()])
-    ledger = tables["file_ledger"]
-    ledger.write(L.ledger_upsert(ledger.read(spark, months), entries), months)
+    made["file_ledger"] = tables["file_ledger"].stage(entries)
+
+    def change(state: State) -> dict:
+        out = {name: [entry] for name, entry in made.items()}
+        again = _known_again(spark, tables["file_ledger"], files, months, seen, state)
+        if again is not None:
+            gone = tables["file_ledger"].stage_gone(again)
+            out |= {name: [gone, made[name]] for name in OF_FILES}
+        ledger = tables["file_ledger"]
+        told = (ledger.rows_of(spark, [made["file_ledger"]]) if attempts is None
+                else ledger.read(spark, months, State(0, state.with_entries(out))))
+        batches = tables["month_ledger"]
+        out["month_ledger"] = [batches.stage(L.finish_batches(
+            batches.read(spark, state=state), _closed(spark, months, told, at)), "full")]
+        return out
+
+    tables["file_ledger"].store.commit(spark, change)
+
+
+def _known_again(spark, ledger, files: DataFrame, months, seen: State | None,
+                 state: State) -> DataFrame | None:
+    """Files whose earlier rows have to go. Of new files these are those that another
+    writer has loaded since ``seen``."""
+    if seen is None:
+        return files if state.entries(ledger.name) else None
+    old = {e["dir"] for e in seen.entries(ledger.name)}
+    since = [e for e in state.entries(ledger.name) if e["dir"] not in old]
+    if not since:
+        return None
+    both = files.join(ledger.rows_of(spark, since, months).select(*FILE), FILE, "left_semi")
+    return None if both.isEmpty() else both
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
@@ -220,16 +239,20 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _close_months(spark, tables, labels: Iterable[str], since, at: datetime) -> None:
+def _closed(spark, labels: Iterable[str], ledger: DataFrame, at: datetime) -> DataFrame:
+    """Outcome of months by the ledger entries given."""
     plan = spark.createDataFrame([(m,) for m in labels], "ch_upload string")
-    counts = L.run_counts(tables["file_ledger"].read(spark, labels), since)
-    closed = L.month_outcome(plan.join(counts, "ch_upload", "left").fillna(0)).select(
+    return L.month_outcome(plan.join(L.run_counts(ledger), "ch_upload", "left").fillna(0)).select(
         T.filings_batch_id(F.col("ch_upload")).alias("batch_id"), "status",
         F.col("files_processed").cast("int").alias("files_processed"),
         F.col("files_failed").cast("int").alias("files_failed"),
         F.lit(at).cast("timestamp").alias("completed_at"))
-    months = tables["month_ledger"]
-    months.write(L.finish_batches(months.read(spark), closed))
+
+
+def _tidy(spark, tables: dict) -> None:
+    for name in (*OF_FILES, "directors", "reports"):
+        tables[name].fold(spark)
+    tables["month_ledger"].store.clean(spark, KEPT_COMMITS)
 
 
 def _directory(label: str) -> str:
@@ -248,8 +271,9 @@ def filings_load(spark: SparkSession, landing: str, root: str, *,
     ``statuses`` narrows which ledger entries count as done. Returns the month
     ledger. Months whose filings are all known are closed with 0/0.
     """
-    return _load(spark, root, list_filings(spark, landing, months),
-                 lambda new, _: read_contents(new), at or datetime.now(), statuses)
+    with _working(spark, root) as work:
+        return _load(spark, root, list_filings(spark, landing, months, f"{work}/listing"),
+                     lambda new, _: read_contents(new), at or datetime.now(), statuses)
 
 
 def filings_table_load(filings: DataFrame, root: str, *, at: datetime | None = None,
@@ -275,7 +299,8 @@ def _load(spark: SparkSession, root: str, listed: DataFrame,
     if not labels:
         return batches.read(spark)
 
-    new = L.new_files(listed, ledger.read(spark, labels), statuses=statuses)
+    state = ledger.store.state(spark)
+    new = L.new_files(listed, ledger.read(spark, labels, state), statuses=statuses)
     counts = {r.ch_upload: r["count"] for r in new.groupBy("ch_upload").count().collect()}
     busy = [m for m in labels if m in counts]
     started = spark.createDataFrame([(m,) for m in labels], "ch_upload string").select(
@@ -283,11 +308,11 @@ def _load(spark: SparkSession, root: str, listed: DataFrame,
         F.lit(fv.FILING_SOURCE).alias("source"),
         T.archive_name(T.label_month(F.col("ch_upload"))).alias("zip_filename"),
         F.lit(at).cast("timestamp").alias("started_at"))
-    batches.write(L.start_batches(batches.read(spark), started))
+    batches.update(spark, lambda old: L.start_batches(old, started))
 
     def commit(months):
         own = new.where(F.col("ch_upload").isin(*months))
-        _commit(spark, root, tables, content_of(own, months), months, at)
+        _commit(spark, root, tables, content_of(own, months), months, at, None if statuses else state)
 
     broken, first = [], None
     if busy:
@@ -308,11 +333,12 @@ def _load(spark: SparkSession, root: str, listed: DataFrame,
             T.filings_batch_id(F.col("ch_upload")).alias("batch_id"),
             F.lit("failed").alias("status"), F.lit(0).alias("files_processed"),
             F.col("n").cast("int").alias("files_failed"), F.lit(at).cast("timestamp").alias("completed_at"))
-        batches.write(L.finish_batches(batches.read(spark), outcome))
-    fine = [m for m in labels if m not in broken]
-    if fine:
-        _close_months(spark, tables, fine, at, at)
-    batches.drop_superseded(spark, KEPT_VERSIONS)
+        batches.update(spark, lambda old: L.finish_batches(old, outcome))
+    idle = [m for m in labels if m not in counts]
+    if idle:
+        none = ledger.rows_of(spark, [])
+        batches.update(spark, lambda old: L.finish_batches(old, _closed(spark, idle, none, at)))
+    _tidy(spark, tables)
     if first:
         raise first
     return batches.read(spark)
@@ -336,14 +362,14 @@ def reprocess_failed(spark: SparkSession, landing: str, root: str, *,
     if not busy:
         return tables["month_ledger"].read(spark)
 
-    listed = list_filings(spark, landing, [_directory(m) for m in busy])
-    landed = read_contents(listed.join(failed.select(*FILE).distinct(), FILE, "left_semi"))
-    kept = failed.join(listed, FILE, "left_anti")
-    content = landed.unionByName(kept.select(*landed.columns))
-    attempts = failed.groupBy(*FILE).agg(F.max("attempts").alias("attempts"))
-    _commit(spark, root, tables, content, busy, at, attempts)
-    _close_months(spark, tables, busy, None, at)
-    tables["month_ledger"].drop_superseded(spark, KEPT_VERSIONS)
+    with _working(spark, root) as work:
+        listed = list_filings(spark, landing, [_directory(m) for m in busy], f"{work}/listing")
+        landed = read_contents(listed.join(failed.select(*FILE).distinct(), FILE, "left_semi"))
+        kept = failed.join(listed, FILE, "left_anti")
+        content = landed.unionByName(kept.select(*landed.columns))
+        attempts = failed.groupBy(*FILE).agg(F.max("attempts").alias("attempts"))
+        _commit(spark, root, tables, content, busy, at, None, attempts)
+    _tidy(spark, tables)
     return tables["month_ledger"].read(spark)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
@@ -16,8 +17,8 @@ from filigree.sources.schemas import register_tables
 from filigree.sources.snapshot_csv import normalise_rows, read_snapshot
 
 
-#: Full versions of a table that a load leaves, for queries that began before it.
-KEPT_VERSIONS = 2
+#: Commits that a load leaves, for queries that began before it.
+KEPT_COMMITS = 8
 
 
 class SnapshotRejected(RuntimeError):
@@ -56,18 +57,18 @@ def snapshot_load(spark: SparkSession, path: str, root: str, month: date, *,
     batch_id = batch.first()["batch_id"]
     if L.is_completed(months.read(spark), batch_id):
         return "skipped"
-    months.write(L.start_batches(
-        months.read(spark), batch, relabel=True, clear_completed=False))
+    months.update(spark, lambda old: L.start_batches(old, batch, relabel=True, clear_completed=False))
 
-    def finish(status, done):
+    def finished(old, status, done):
         outcome = batch.select(
             "batch_id", F.lit(status).alias("status"), F.lit(done).alias("files_processed"),
             F.lit(0).alias("files_failed"), F.lit(at).cast("timestamp").alias("completed_at"))
-        months.write(L.finish_batches(months.read(spark), outcome))
+        return L.finish_batches(old, outcome)
 
     try:
         stage_snapshot(spark, path, root, headers)
-        staged, existing = tables["staging"].read(spark), companies.read(spark)
+        begun = companies.store.state(spark)
+        staged, existing = tables["staging"].read(spark, state=begun), companies.read(spark, state=begun)
         gate = snapshot_gate(staged, existing, tolerance).first()
         if not gate["passed"]:
             raise SnapshotRejected(gate["reason"])
@@ -77,12 +78,19 @@ def snapshot_load(spark: SparkSession, path: str, root: str, month: date, *,
         missing = staged.where(F.col("company_number").isNull()).limit(1)
         if not missing.isEmpty():
             raise SnapshotRejected("rows without a company number")
-        companies.write(merge_companies(existing, staged, at))
-        tables["staging"].write(staged.limit(0))
-        for table in (companies, tables["staging"], months):
-            table.drop_superseded(spark, KEPT_VERSIONS)
+        merged: dict = {}  # by what it was merged with: another writer may be first
+
+        def change(state):
+            known = json.dumps(state.entries("companies"))
+            if known not in merged:
+                merged[known] = companies.stage(
+                    merge_companies(companies.read(spark, state=state), staged, at), "full")
+            return {"companies": [merged[known]], "staging": [tables["staging"].stage(staged.limit(0), "full")],
+                    "month_ledger": [months.stage(finished(months.read(spark, state=state), "completed", 1), "full")]}
+
+        companies.store.commit(spark, change)
+        companies.store.clean(spark, KEPT_COMMITS)
     except Exception:
-        finish("failed", 0)
+        months.update(spark, lambda old: finished(old, "failed", 0))
         raise
-    finish("completed", 1)
     return "completed"

@@ -151,8 +151,7 @@ def financials_append(spark, sf_dir):
         new = rows.select(
             F.col("l_orderkey").alias("source_file"), F.date_format("l_shipdate", "MMM-yy").alias("ch_upload"),
             "l_linenumber", "l_partkey", value.alias("value"))
-        months = [r[0] for r in new.select("ch_upload").distinct().collect()]
-        facts.write(J.replace_files(facts.read(spark, months), new, new.select(*J.FILE).distinct()), months)
+        facts.append(new, replacing=new.select(*J.FILE))
 
     load(li.where("l_returnflag <> 'R'"), -F.col("l_quantity"))
     for _ in range(2):  # loading the same files again changes nothing
@@ -183,9 +182,8 @@ def quarantine(spark, sf_dir):
         F.repeat("props", F.lit(300)).alias("comment"), F.lit(0).alias("attempts"),
         F.date_format("ts", "MMM-yy").alias("ch_upload"),
         F.when(F.col("event_type") == "error", "failed").otherwise("warning").alias("status"))
-    months = [r[0] for r in rows.select("ch_upload").distinct().collect()]
     for _ in range(2):
-        held.write(J.replace_files(held.read(spark, months), rows, rows), months)
+        held.append(rows, replacing=rows.select(*J.FILE))
     return held.read(spark).select("source_file", "ch_upload", "status", "content", "comment")
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from filigree import fixed_values as fv
-from filigree.sources.tables import Table
+from filigree.operators.upserts import filing_order
+from filigree.sources.tables import Merge, Table
 
 COMPANY_COLUMNS = tuple(fv.SNAPSHOT_HEADERS.values())
 
@@ -37,16 +38,17 @@ WARNINGS = "source_file string, n int, warning string, ch_upload string"
 
 
 def register_tables(root: str) -> dict[str, Table]:
-    def table(name, schema, partition_by=(), sort_by=()):
-        return Table(f"{root.rstrip('/')}/{name}", schema, partition_by, sort_by)
+    def table(name, schema, partition_by=(), sort_by=(), keys=()):
+        merge = Merge(keys, filing_order) if keys else None
+        return Table(f"{root.rstrip('/')}/{name}", schema, partition_by, sort_by, merge)
 
     by_month = ("ch_upload",)
     return {
         "staging": table("staging", STAGING),
         "companies": table("companies", COMPANIES, sort_by=("company_number",)),
         "financials": table("financials", FINANCIALS, by_month, ("company_number",)),
-        "directors": table("directors", DIRECTORS, by_month, ("company_number",)),
-        "reports": table("reports", REPORTS, by_month, ("company_number",)),
+        "directors": table("directors", DIRECTORS, by_month, ("company_number",), ("company_number", "director_name")),
+        "reports": table("reports", REPORTS, by_month, ("company_number",), ("company_number", "section")),
         "fields": table("fields", FIELDS, by_month, ("company_number",)),
         "file_ledger": table("file_ledger", FILE_LEDGER, by_month, ("source_file",)),
         "month_ledger": table("month_ledger", MONTH_LEDGER),

@@ -247,5 +247,5 @@ def test_tables_without_spark_success_marks(spark, tmp_path):
         conf.unset(key)
     assert table.read(spark).count() == 3
     assert table.drop_superseded(spark, 2) == 1 and table.read(spark).count() == 3
-    os.remove(f"{tmp_path}/t/v000003-full/_COMMITTED")  # not committed: not there
+    os.remove(f"{tmp_path}/_commits/00000003.json")  # not committed: not there
     assert table.read(spark).count() == 2

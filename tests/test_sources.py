@@ -10,7 +10,7 @@ from filigree.plans.snapshot import SnapshotRejected, snapshot_load
 from filigree.sources import filings as FI
 from filigree.sources import ixbrl
 from filigree.sources.schemas import register_tables
-from filigree.sources.snapshot_csv import file_profiles, normalise_rows, read_snapshot
+from filigree.sources.snapshot_csv import ends_inside, file_profiles, normalise_rows, read_snapshot
 from filigree.sources.tables import Table
 
 
@@ -34,6 +34,80 @@ def test_snapshot_files_of_both_encodings_and_shapes(spark, tmp_path):
     assert len(rows.columns) == 27
 
 
+def test_line_states():
+    for line, inside, ends in (
+            ("a,b", False, False), ("a,b", True, True), ('a,"b', False, True), ('b",c', True, False),
+            ('a,"b ""c"" d",e', False, False), ('a,"b ""', False, True), ('x ""', True, True), ('x"""', True, False),
+            ('5" pipe,u', False, False), ('5" pipe,"u', False, True), ('"a"tail,"b', False, True), ('""', False, False),
+            ('"', False, True), ('"', True, False), ('","', True, True), ("", True, True), ('"a""', False, True)):
+        assert ends_inside(line, inside) == ends, line
+
+
+def break_rows(r, n):
+    out = []
+    for k in range(n):
+        name = r.choice(["plain", 'say "hi"', "two\nlines", "three\n\nlines €", 'edge"\n"', "a,b\r\nc", "", '5" pipe', "x" * 300])
+        out.append((str(k), name, r.choice(["York", "\n", "Hull €", '"'])))
+    return out
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "cp1252"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_breaks_inside_fields_are_read_by_many_tasks(spark, tmp_path, encoding, end):
+    import csv
+    import random
+
+    r, want = random.Random(end + encoding), []
+    for f in range(2):
+        rows = break_rows(r, 400) + [("long", "line\n" * 900, "spans splits")] + [(f"q{i}", "q", "q") for i in range(50)]
+        # where lines end in CRLF, fields break by line feeds
+        want += [(f"{f}.csv", a, b.replace(end, "\n"), c) for a, b, c in rows]
+        with open(tmp_path / f"{f}.csv", "w", newline="", encoding=encoding) as out:
+            writer = csv.writer(out, lineterminator=end)
+            writer.writerow([" CompanyNumber", "CompanyName", "RegAddress.PostTown"])
+            for k, row in enumerate(rows):
+                writer.writerow(row)
+                if k % 50 == 0:
+                    out.write(end)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "700")
+    try:
+        read = read_snapshot(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 20
+        got = sorted((x.file_name, x[0], x[1] or "", x[2]) for x in read.collect())
+    finally:
+        spark.conf.set(key, before)
+    assert got == sorted(want)
+    # as the parser that reads a file whole
+    plain = spark.read.option("header", True).option("escape", '"').option("multiLine", True).option(
+        "encoding", "UTF-8" if encoding == "utf-8" else "ISO-8859-1").csv(str(tmp_path))
+    if encoding == "utf-8":
+        assert sorted((x[0], x[1] or "", x[2]) for x in plain.collect()) == sorted(w[1:] for w in want)
+
+
+def test_one_quoted_break_in_a_large_file(spark, tmp_path):
+    lines = [f'{k},name {k},"York"' for k in range(20_000)]
+    lines[7] = '7,"name\n7","York"'
+    (tmp_path / "a.csv").write_text("\n".join([" CompanyNumber,CompanyName,RegAddress.PostTown", *lines]) + "\n")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "65536")
+    try:
+        read = read_snapshot(spark, str(tmp_path))
+        spread = read.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(spread) > 4 and sum(p["count"] for p in spread) == 20_000
+        assert read.where("CompanyName = 'name\n7'").count() == 1
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_returns_alone_are_read_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b' CompanyNumber,CompanyName\r1,"a\rb"\r2,c\r')
+    got = normalise_rows(read_snapshot(spark, str(tmp_path))).collect()
+    assert sorted((x.company_number, x.company_name) for x in got) == [("1", "a b"), ("2", "c")]
+
+
 def test_missing_snapshot(spark, tmp_path):
     with pytest.raises(ValueError, match="no CSV"):
         read_snapshot(spark, str(tmp_path))
@@ -51,6 +125,41 @@ def test_filing_scan(spark, tmp_path):
     assert FI.scan_filings(spark, str(tmp_path), ["2021-09"]).count() == 0
 
 
+def test_nested_folders_are_listed_level_by_level(spark, tmp_path):
+    want = set()
+    for k in range(60):
+        deep = "/".join(["2021-01", *[f"d{k % 3}", f"e{k % 7}", f"f{k}"][:k % 4]])
+        os.makedirs(tmp_path / deep, exist_ok=True)
+        (tmp_path / deep / f"n{k}.html").write_text("x" * k)
+        want.add((f"n{k}", k))
+    for hidden in ("2021-01/_tmp", "2021-01/d0/.x"):
+        os.makedirs(tmp_path / hidden)
+        (tmp_path / hidden / "h.html").write_text("h")
+    os.makedirs(tmp_path / "2021-02" / "empty")
+    work = tmp_path / "work"
+    listed = FI.list_filings(spark, str(tmp_path), work=str(work))
+    assert {(r.source_file, r.size) for r in listed.collect()} == want
+    assert {r.ch_upload for r in listed.collect()} == {"Jan-21"}
+    assert sorted(os.listdir(work)) == ["level-0", "level-1", "level-2", "level-3"]
+    # as many tasks as folders: the 60 of the last level are not one task's
+    assert len([f for f in os.listdir(work / "level-3") if f.startswith("part")]) > 3
+
+
+def test_tasks_of_even_bytes(spark):
+    import random
+
+    r = random.Random(3)
+    sizes = [r.choice((10, 1000, 200_000, 5_000_000)) for _ in range(3000)]
+    listed = spark.createDataFrame([(f"p{k}", s) for k, s in enumerate(sizes)], "path string, size bigint")
+    rows, tasks = FI.even_tasks(listed, task_bytes=100_000_000)
+    load = {x.task: x.b for x in rows.groupBy("task").agg(F.sum(F.col("size") + FI.OPEN_BYTES).alias("b")).collect()}
+    mean = sum(load.values()) / tasks
+    assert len(load) == tasks > 30 and max(load.values()) < 2 * mean and sum(load.values()) == sum(sizes) + 3000 * FI.OPEN_BYTES
+    one, n = FI.even_tasks(spark.createDataFrame([("a", None), ("b", 0)], "path string, size bigint"))
+    assert n == 2 and one.count() == 2
+    assert FI.even_tasks(listed.limit(0))[0].count() == 0
+
+
 def test_table_versions(spark, tmp_path):
     table = Table(str(tmp_path / "t"), "k int, v string, m string", ("m",), ("k",))
     rows = lambda *r: spark.createDataFrame(list(r), "k int, v string, m string")
@@ -65,11 +174,11 @@ def test_table_versions(spark, tmp_path):
     table.write(rows((9, "z", "Jan-21")).limit(0), ["Jan-21"])
     assert read() == [(3, "c", "Feb-21")]
     # a write that never committed is not seen
-    os.makedirs(tmp_path / "t" / "v000009-full" / "m=Jan-21")
+    table.stage(rows((5, "e", "Jan-21")))
     assert read() == [(3, "c", "Feb-21")]
     table.write(rows((4, "d", "Feb-21")))
     assert read() == [(4, "d", "Feb-21")]
-    assert table.compact(spark) == 5
+    assert table.compact(spark) == 1
     assert read() == [(4, "d", "Feb-21")]
     with pytest.raises(ValueError):
         table.write(rows((4, "d", "Feb-21")), ["a/b"])
