@@ -15,6 +15,7 @@ from filigree.functions.text import begins_with, strip
 
 # Line kinds; start headings are numbered from 1.
 _STOP, _TEXT, _SKIP, _NOTE, _NOTE_OR_SKIP = 0, -1, -2, -3, -4
+NOTED, SKIPPED = (_NOTE, _NOTE_OR_SKIP), (_SKIP, _NOTE_OR_SKIP)
 
 
 def lines(content: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,8 +10,11 @@ from pyspark.sql import functions as F
 from filigree import fixed_values as fv
 from filigree.functions import text as T
 from filigree.operators.dedupe import pick_first
+from filigree.session import shared_folder
 
 FILE_KEYS = ("source_file", "ch_upload")
+#: Bits of one bitmap of Spark's aggregate; sets that ``filter_heavy`` puts behind another.
+BITMAP, LEVELS = 32_768, 24
 
 
 # ---- what is new -------------------------------------------------------------
@@ -25,15 +27,69 @@ def new_files(files: DataFrame, ledger: DataFrame, keys: Sequence[str] = FILE_KE
 
 
 def filter_heavy(rows: DataFrame, key_rows: DataFrame, keys: Sequence[str] = FILE_KEYS,
-                 months: Iterable[str] = (), month: str = "ch_upload") -> DataFrame:
-    """Rows with large cells whose keys are in ``key_rows``, month by month. A month has
-    a delivery's files at most (hundreds of thousands), so its keys are broadcast and
-    the cells stay where they were read, however long the history is."""
-    keys = list(keys)
-    key_rows = key_rows.select(*keys).distinct()
-    parts = [rows.where(F.col(month) == m).join(
-        F.broadcast(key_rows.where(F.col(month) == m)), keys, "left_semi") for m in months]
-    return reduce(DataFrame.unionByName, parts) if parts else rows.limit(0)
+                 months: Iterable[str | None] | None = None, month: str = "ch_upload", *,
+                 work: str | None = None, bits: int = 27) -> DataFrame:
+    """Rows with large cells whose keys are in ``key_rows``, NULLs being equal. The cells
+    stay where they were read, however many keys there are. ``months``, if given, are
+    those of the keys, so that other partitions are not read.
+
+    A set of bits of fixed size (two to the power of ``bits``) tells which rows may be
+    wanted. The narrow keys of all rows tell exactly which of them it takes in wrongly;
+    these make a second set, the wanted keys which that one would leave out a third, and
+    so on until nothing is wrong, mostly at once. Only the sets, never keys, are sent to
+    the tasks. Keys in between are written below ``work`` (a shared folder if None)."""
+    keys, spark = list(keys), rows.sparkSession
+    if months is not None:
+        months = list(months)
+        known = [m for m in months if m is not None]
+        rows = rows.where(F.col(month).isin(*known) | (F.col(month).isNull() if None in months else F.lit(False)))
+    folder = work or shared_folder(spark)
+
+    def kept(df: DataFrame, k: int) -> DataFrame:
+        df.write.parquet(f"{folder}/keys-{k}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/keys-{k}")
+
+    def place(level: int):
+        return F.pmod(F.xxhash64(F.lit(level), *keys), F.lit(1 << bits))
+
+    def set_of(df: DataFrame, level: int) -> DataFrame:
+        return df.select((place(level) / BITMAP).cast("int").alias(f"_at{level}"), (place(level) % BITMAP).alias("_bit")).groupBy(
+            f"_at{level}").agg(F.bitmap_construct_agg("_bit").alias(f"_bits{level}"))
+
+    def marked(df: DataFrame, level: int, bitmaps: DataFrame) -> DataFrame:
+        # at most 2 ** bits / BITMAP rows of BITMAP / 8 bytes: 16 MB by default
+        joined = df.withColumn("_place", place(level)).withColumn("_at", (F.col("_place") / BITMAP).cast("int")).join(
+            F.broadcast(bitmaps), F.col("_at") == F.col(f"_at{level}"), "left")
+        bit = (F.col("_place") % BITMAP).cast("int")
+        byte = F.conv(F.hex(F.substring(f"_bits{level}", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return joined.withColumn(f"_in{level}", F.coalesce(F.getbit(byte, bit % 8) == 1, F.lit(False))).drop(
+            "_place", "_at", f"_at{level}", f"_bits{level}")
+
+    wanted = kept(key_rows.select(*keys).distinct(), 0)
+    bitmaps, own, others = [set_of(wanted, 0)], wanted, None
+    while True:
+        level = len(bitmaps)
+        if others is None:  # of all rows, those taken in wrongly
+            passed = marked(rows.select(*keys), 0, bitmaps[0]).where("_in0").select(*keys).distinct()
+            wrong = passed.join(wanted.select(*[F.col(k).alias(f"_{k}") for k in keys]),
+                                [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_anti")
+        else:  # of the set before, those that the newest one takes in
+            wrong = marked(others, level - 1, bitmaps[-1]).where(f"_in{level - 1}").select(*keys)
+        wrong = kept(wrong, level)
+        if wrong.isEmpty():
+            break
+        if level >= LEVELS:  # far more keys than bits: a plain join says it
+            return rows.join(wanted.select(*[F.col(k).alias(f"_{k}") for k in keys]),
+                             [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
+        bitmaps.append(set_of(wrong, level))
+        own, others = wrong, own
+    found = rows
+    for level, bitmap in enumerate(bitmaps):
+        found = marked(found, level, bitmap)
+    inside = F.lit(True)
+    for level in reversed(range(1, len(bitmaps))):
+        inside = ~(F.col(f"_in{level}") & inside)
+    return found.where(F.col("_in0") & inside).select(*rows.columns)
 
 
 def pending_months(plan: DataFrame, month_ledger: DataFrame) -> DataFrame:

@@ -15,6 +15,21 @@ CHECKS = (
 )
 
 
+def company_parts(facts: DataFrame, *by: str) -> DataFrame:
+    """Rows and NULLs per company: parts of ``content_checks`` that add up."""
+    return facts.groupBy(*by, "company_number").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("metric").isNull()).alias("no_metric"),
+        F.count_if(F.col("value").isNull()).alias("no_value"))
+
+
+def content_of_parts(parts: DataFrame, by: str = "ch_upload") -> DataFrame:
+    """``content_checks`` of the facts that ``company_parts`` were made of, however many."""
+    return parts.groupBy(by).agg(
+        F.sum("n").alias("financial_rows"), F.countDistinct("company_number").alias("companies"),
+        F.coalesce(F.sum(F.when(F.col("company_number").isNull(), F.col("n"))), F.lit(0)).alias("null_company_number"),
+        F.sum("no_metric").alias("null_metric"), F.sum("no_value").alias("null_value"))
+
+
 def content_checks(facts: DataFrame, by: str = "ch_upload") -> DataFrame:
     """Rows, companies and NULLs in one pass over the fact table."""
     return facts.groupBy(by).agg(
@@ -37,13 +52,16 @@ def verify(financials: DataFrame, directors: DataFrame, reports: DataFrame,
     """One row per month and check: value and level. Missing financial rows are an
     error, NULLs and duplicates only warn. Without ``months`` every month that has
     rows is checked."""
-    # a few numbers per month and table, so what follows is small
-    parts = [
+    return checks_of([
         content_checks(financials, by),
         key_checks(directors, ("company_number", "director_name"),
                    "director_rows", "duplicate_directors", by),
         key_checks(reports, ("company_number", "section"),
-                   "report_rows", "duplicate_reports", by)]
+                   "report_rows", "duplicate_reports", by)], months, by)
+
+
+def checks_of(parts: list[DataFrame], months: DataFrame | None = None, by: str = "ch_upload") -> DataFrame:
+    """One row per month and check, from a few numbers per month and table."""
     if months is not None:
         asked = months.select(by).distinct()
         parts = [asked, *[part.join(asked, by, "left_semi") for part in parts]]

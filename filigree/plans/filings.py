@@ -280,10 +280,12 @@ def filings_table_load(filings: DataFrame, root: str, *, at: datetime | None = N
                        statuses: Sequence[str] | None = None) -> DataFrame:
     """As ``filings_load``, from a table of filings (source_file, path, ch_upload,
     content) instead of one file each, such as a stored ``scan_filings``."""
-    return _load(
-        filings.sparkSession, root, filings.select("source_file", "path", "ch_upload"),
-        lambda new, labels: L.filter_heavy(filings, new, FILE, labels),
-        at or datetime.now(), statuses)
+    spark = filings.sparkSession
+    with _working(spark, root) as work:
+        return _load(
+            spark, root, filings.select("source_file", "path", "ch_upload"),
+            lambda new, labels: L.filter_heavy(
+                filings, new, FILE, labels, work=f"{work}/{uuid.uuid4().hex}"), at or datetime.now(), statuses)
 
 
 def _load(spark: SparkSession, root: str, listed: DataFrame,

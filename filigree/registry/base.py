@@ -36,10 +36,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Narrow rows over all cores before work that makes each of them large, where the
-    table has fewer partitions: one of one row group would otherwise be one task."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Narrow rows evenly over all cores before work that makes each of them large; a
+    table may have all its rows in one of its splits."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def write_filings(df: DataFrame, landing: str, directory: str = "directory",

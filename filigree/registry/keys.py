@@ -13,7 +13,10 @@ from filigree.operators import quality as Q
 from filigree.operators import upserts as U
 from filigree.plans.filings import backfill_plan as pending_plan
 from filigree.plans.filings import run_summary as summary
+from filigree.plans.verification import verify_tables
 from filigree.registry.base import query, table
+from filigree.session import shared_folder
+from filigree.sources.schemas import register_tables
 
 
 @query("""
@@ -115,13 +118,12 @@ def new_files(spark, sf_dir):
 SELECT doc_id, n_chars FROM documents d WHERE NOT EXISTS (
   SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)""")
 def new_files_by_status(spark, sf_dir):
-    """Only labels of quality 1 count as done; wide rows stay in place: narrow keys say
-    which are new, month by month (here by language)."""
+    """Only labels of quality 1 count as done; wide rows stay in place: sets of bits made
+    of the narrow keys say which are new."""
     ledger = table(spark, sf_dir, "labels").withColumn("status", F.col("quality").cast("string"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
     new = L.new_files(docs.select("doc_id", "lang"), ledger, ["doc_id"], statuses=("1",))
-    langs = [r[0] for r in new.select("lang").distinct().collect()]
-    return L.filter_heavy(docs, new, ["doc_id", "lang"], langs, "lang").drop("lang")
+    return L.filter_heavy(docs, new, ["doc_id", "lang"]).drop("lang")
 
 
 @query("""
@@ -363,6 +365,56 @@ def verify(spark, sf_dir):
     return Q.verify(facts, named, told)
 
 
+@query("""
+WITH f AS (
+  SELECT strftime(o_orderdate, '%b-%y') AS ch_upload, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS c,
+         o_totalprice > 1000 AS valued FROM orders
+  WHERE o_orderstatus <> 'P' OR o_orderkey % 3 > 0),
+d AS (SELECT l_suppkey, l_partkey, arg_max(  -- labels have two digits of the year
+        strftime(l_shipdate, '%b-%y'), year(l_shipdate) % 100 * 12 + month(l_shipdate)) AS ch_upload FROM lineitem GROUP BY ALL),
+w AS (
+  SELECT ch_upload, 'financial_rows' AS check_name, count(*) AS value FROM f GROUP BY 1
+  UNION ALL SELECT ch_upload, 'companies', count(DISTINCT c) FROM f GROUP BY 1
+  UNION ALL SELECT ch_upload, 'null_company_number', count(*) FILTER (WHERE c IS NULL) FROM f GROUP BY 1
+  UNION ALL SELECT ch_upload, 'null_metric', 0 FROM f GROUP BY 1
+  UNION ALL SELECT ch_upload, 'null_value', count(*) FILTER (WHERE NOT valued) FROM f GROUP BY 1
+  UNION ALL SELECT ch_upload, 'director_rows', count(*) FROM d GROUP BY 1),
+g AS (SELECT m.ch_upload, c.check_name FROM (SELECT DISTINCT ch_upload FROM w) m, (
+  VALUES ('financial_rows'), ('companies'), ('null_company_number'), ('null_metric'), ('null_value'), ('director_rows'),
+         ('duplicate_directors'), ('report_rows'), ('duplicate_reports')) c(check_name))
+SELECT ch_upload, check_name, coalesce(value, 0) AS value,
+       CASE WHEN check_name = 'financial_rows' AND coalesce(value, 0) = 0 THEN 'error'
+            WHEN starts_with(check_name, 'null_') AND value > 0 THEN 'warning' ELSE 'ok' END AS level
+FROM g LEFT JOIN w USING (ch_upload, check_name)""")
+def verify_loads(spark, sf_dir):
+    """Three loads, verified after each; files of one are replaced by the next, directors
+    found again. Each verification counts what is new since the one before."""
+    root = f"{shared_folder(spark)}/tables"
+    t, at = register_tables(root), F.lit("2025-01-01").cast("timestamp")
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    facts = orders.select(
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey").cast("string")).alias("company_number"),
+        F.col("o_orderstatus").alias("metric"), F.when(F.col("o_totalprice") > 1000, F.col("o_totalprice")).alias("value"),
+        F.lit(None).cast("string").alias("period"), F.lit(None).cast("date").alias("account_closing_date_last_year"),
+        F.lit(None).cast("int").alias("fiscal_period_new"), F.lit("no").alias("is_consolidated"),
+        F.lit("x").alias("data_scope"), F.col("o_orderdate").cast("date").alias("filing_date"),
+        F.col("o_orderkey").cast("string").alias("source_file"),
+        F.date_format("o_orderdate", "MMM-yy").alias("ch_upload"), at.alias("loaded_at"))
+    named = lines.select(
+        F.col("l_suppkey").cast("string").alias("company_number"), F.col("l_partkey").cast("string").alias("director_name"),
+        F.col("l_shipdate").cast("date").alias("filing_date"), F.col("l_orderkey").cast("string").alias("source_file"),
+        F.date_format("l_shipdate", "MMM-yy").alias("ch_upload"), at.alias("loaded_at"), "l_returnflag")
+    for status, flag in (("F", "A"), ("O", "N"), ("P", "R")):
+        t["financials"].append(facts.where(F.col("metric") == status))
+        own = D.latest_wins(named.where(F.col("l_returnflag") == flag), ["company_number", "director_name"],
+                            D.recency("ch_upload", "filing_date", "source_file"))
+        t["directors"].append(own)
+        verify_tables(spark, root).collect()  # a few numbers per month
+    gone = facts.where("metric = 'P' AND cast(source_file AS bigint) % 3 = 0")
+    t["financials"].append(gone.limit(0), replacing=gone.select("source_file", "ch_upload"))
+    return verify_tables(spark, root)
+
+
 @query("""
 SELECT event_id AS source_file, strftime(ts, '%b-%y') AS ch_upload,
        left('FILE: ' || event_id || '.html' || chr(10) || 'props' || chr(10) || chr(10)

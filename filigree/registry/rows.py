@@ -9,7 +9,7 @@ from filigree.functions import sections as S
 from filigree.functions import text as T
 from filigree.operators import facts as X
 from filigree.operators.dedupe import last_value_per_key
-from filigree.operators.running import running_last
+from filigree.operators.running import running_last, sections_of_lines
 from filigree.registry.base import query, sql_strip, table
 from filigree.sources import snapshot_csv
 
@@ -223,7 +223,7 @@ def text_lines(spark, sf_dir):
     return S.text_lines(table(spark, sf_dir, "pages"), "html", "page_id")
 
 
-@query("WITH " + LINES_SQL.format(
+_SECTION_TEXT = ("WITH " + LINES_SQL.format(
     key="doc_id", text="text", source="documents", strip=sql_strip("line")) + r""",
 kinds AS (
   SELECT doc_id, pos, line,
@@ -242,12 +242,23 @@ SELECT doc_id, CASE sec WHEN 1 THEN 'alpha' WHEN 2 THEN 'beta' ELSE 'gamma' END
        string_agg(line, chr(10) ORDER BY pos) AS text
 FROM closed WHERE head IS NULL AND sec > 0 AND NOT skipped AND shut = 0
 GROUP BY doc_id, sec HAVING length(string_agg(line, chr(10) ORDER BY pos)) > 10""")
+_HEADINGS = dict(
+    starts=((r"^(The|Tion)", "alpha"), (r"^In", "beta"), (r"^(De|Le)", "gamma")),
+    stops=(r"^(Of|Licensed|Und)",), note_number=r"^(Re|Et|Er)", skips=(r"^(An|Er)",),
+    note_sections=("beta", "gamma"))
+
+
+@query(_SECTION_TEXT)
 def section_text(spark, sf_dir):
-    return S.section_rows(
-        table(spark, sf_dir, "documents"), "text", "doc_id",
-        starts=((r"^(The|Tion)", "alpha"), (r"^In", "beta"), (r"^(De|Le)", "gamma")),
-        stops=(r"^(Of|Licensed|Und)",), note_number=r"^(Re|Et|Er)", skips=(r"^(An|Er)",),
-        note_sections=("beta", "gamma"))
+    return S.section_rows(table(spark, sf_dir, "documents"), "text", "doc_id", **_HEADINGS)
+
+
+@query(_SECTION_TEXT)
+def section_lines(spark, sf_dir):
+    """As ``section_text``, of documents that are rows of lines; small blocks, so that
+    sections cross their borders here too."""
+    told = S.text_lines(table(spark, sf_dir, "documents"), "text", "doc_id")
+    return sections_of_lines(told, ["doc_id"], "pos", "line", min_chars=fv.MIN_SECTION_CHARS, block_rows=5, **_HEADINGS)
 
 
 @query("WITH " + LINES_SQL.format(

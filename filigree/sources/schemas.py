@@ -34,6 +34,9 @@ MONTH_LEDGER = (
 QUARANTINE = (
     "source_file string, path string, content string, comment string, attempts int, "
     "ch_upload string, status string")
+FACT_CHECKS = (
+    "entry string, ch_upload string, company_number string, n bigint, no_metric bigint, no_value bigint")
+KEY_CHECKS = "entry string, ch_upload string, n bigint, repeated bigint"
 WARNINGS = "source_file string, n int, warning string, ch_upload string"
 
 
@@ -53,5 +56,7 @@ def register_tables(root: str) -> dict[str, Table]:
         "file_ledger": table("file_ledger", FILE_LEDGER, by_month, ("source_file",)),
         "month_ledger": table("month_ledger", MONTH_LEDGER),
         "warnings": table("warnings", WARNINGS, by_month, ("source_file",)),
+        "fact_checks": table("fact_checks", FACT_CHECKS, ("entry",)),
+        "key_checks": table("key_checks", KEY_CHECKS, ("entry",)),
         "quarantine": table("quarantine", QUARANTINE, ("ch_upload", "status")),
     }
