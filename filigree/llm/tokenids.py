@@ -30,7 +30,7 @@ END = 0
 #: Numbers in a block, but a document is never cut.
 BLOCK = 1 << 18
 #: Chunks whose ids a Python worker remembers (about 200 bytes each).
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 
 #: Lengths of the four numbers of each control byte.
 LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3) + 1
@@ -64,11 +64,15 @@ class Encoder:
     """Ids of whole texts by a byte-level BPE file of the tokenizers library.
 
     Its splitting never joins what stands before a space with a following word, so a
-    text is cut there and each distinct chunk is encoded once per worker. New chunks
-    are encoded many in one string: the ids that begin with a space tell them apart.
+    text is cut there and each distinct chunk is encoded once per worker. It never joins
+    letters with a mark or a digit behind them either, so a new chunk of a known word
+    and known marks needs no encoding. What is left is encoded many in one string: the
+    ids that begin with a space tell them apart.
     """
 
     ODD, CUT = re.compile(r" (?:\s|$)"), re.compile(r"(?= \S)")
+    #: Letters, then a mark or digit and the rest.
+    MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-@\[-`{-~].*)", re.S).fullmatch
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -77,47 +81,87 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.spaced = np.zeros(self.size, bool)
-        self.spaced[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+        self.starts = np.zeros(self.size, bool)
+        self.starts[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+        #: Ids of a space and a word, by the word; ids of other chunks; those of before.
+        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, chunks: list[str]) -> None:
-        encode, known, kind = self.tokenizer.encode_batch_fast, self.known, self.kind
-        plain = [c for c in chunks if c[0] == " " and " " not in c[1:]]
+        self.old: tuple[dict, dict] = ({}, {})
+
+    def _learn(self, words: set[str], chunks: set[str]) -> None:
+        """Ids of words behind a space and of other chunks, none of them known."""
+        marked, plain, known, old, split = [], [], self.words, self.old[0], self.MARKED
+        if old:
+            again = words & old.keys()
+            known.update((w, old[w]) for w in again)
+            words = words - again
+        for w in words:
+            m = None if w.isalpha() else split(w)
+            if not m:
+                plain.append(w)
+                continue
+            core, rest = m.groups()
+            marked.append((w, core, rest))
+            if core not in known and core not in words:
+                known[core] = old.get(core, b"")
+                if core not in old:
+                    plain.append(core)
+            if rest not in self.known:
+                chunks.add(rest)
+        odd = []
+        for c in chunks:
+            if c in self.old[1]:
+                self.known[c] = self.old[1][c]
+            else:
+                odd.append(c)
+        encode, kind, step = self.tokenizer.encode_batch_fast, self.kind, self.kind.itemsize
         runs = [plain[i:i + 200] for i in range(0, len(plain), 200)]
-        odd = [c for c in chunks if not (c[0] == " " and " " not in c[1:])]
-        found = encode(["".join(r) for r in runs], add_special_tokens=False)
-        for run, e in zip(runs, found, strict=True):
+        for run, e in zip(runs, encode(["".join([" " + w for w in run]) for run in runs], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, kind)
-            at = np.flatnonzero(self.spaced[ids])
-            if len(at) != len(run) or at[0]:  # a chunk holds an id that looks like a start
-                odd += run
+            at = np.flatnonzero(self.starts[ids])
+            if len(at) != len(run) or at[0]:  # a word holds an id that looks like a start
+                for w, one in zip(run, encode([" " + w for w in run], add_special_tokens=False), strict=True):
+                    self.words[w] = np.array(one.ids, kind).tobytes()
                 continue
-            raw, step = ids.tobytes(), kind.itemsize
-            ends = [*(at[1:] * step).tolist(), len(raw)]
-            known.update(zip(run, (raw[a:b] for a, b in zip((at * step).tolist(), ends, strict=True)), strict=True))
+            raw, at = ids.tobytes(), (at * step).tolist()
+            self.words.update(zip(run, [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)], strict=True))
         for i in range(0, len(odd), 512):
             part = odd[i:i + 512]
             for c, e in zip(part, encode(part, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, kind).tobytes()
-
-    def chunks(self, text: str) -> list[str]:
-        if self.ODD.search(text):
-            return [c for c in self.CUT.split(text) if c]
-        first, *rest = text.split(" ")
-        rest = [" " + x for x in rest]
-        return [first, *rest] if first else rest
+                self.known[c] = np.array(e.ids, kind).tobytes()
+        for w, core, rest in marked:
+            self.words[w] = self.words[core] + self.known[rest]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian numbers of ``self.kind``."""
-        cut = [self.chunks(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = set().union(*cut).difference(self.known)
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        if len(self.words) + len(self.known) > REMEMBERED // 2:
+            # what is in use comes back from there without being encoded again
+            self.old, self.words, self.known = (self.words, self.known), {}, {}
+        words, chunks, found, gaps = set(), set(), [], []
+        for t in texts:
+            if self.ODD.search(t):
+                own, start, of = [c for c in self.CUT.split(t) if c], [], self.known
+            else:
+                first, *own = t.split(" ")
+                start, of = [first] if first else [], self.words
+            ids = list(map(of.get, own))
+            head = [self.known.get(c) for c in start]
+            if None in head:
+                chunks.update(start)
+            at, k = [], -1
+            for _ in range(ids.count(None)):
+                k = ids.index(None, k + 1)
+                at.append(k)
+            if at:
+                (words if of is self.words else chunks).update([own[k] for k in at])
+                gaps.append((ids, at, own, of))
+            found.append((start, ids))
+        if words or chunks:
+            self._learn(words, chunks)
+            for ids, at, own, of in gaps:
+                for k in at:
+                    ids[k] = of[own[k]]
+        return [b"".join([*map(self.known.__getitem__, start), *ids]) for start, ids in found]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -154,8 +198,7 @@ def ranked(ids: DataFrame, kind: np.dtype, size: int) -> DataFrame:
     def count(batches):
         total = np.zeros(size, np.int64)
         for b in batches:
-            for x in b.column(0):
-                total += np.bincount(np.frombuffer(x.as_py(), kind), minlength=size)
+            total += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), kind), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
@@ -196,14 +239,16 @@ def write_ids(docs: DataFrame, path: str, name: str = "byte_bpe_50k.json", doc_i
     """Encode ``docs`` and write them below ``path`` in ascending id order.
 
     A NULL or empty text is the end id alone. NULL ids come first; rows that share an id
-    are all written, in the order of their ids' bytes. An empty table gives a folder
+    are all written, in the order of a hash of their ids. An empty table gives a folder
     without blocks. Other columns are not looked at."""
     e = encoder(name)
     ids = stored(encoded(docs, name, doc_id, text), "ids")
     ranked(ids, e.kind, e.size).coalesce(1).write.parquet(f"{path}/ranks")
     order = docs.sparkSession.read.parquet(f"{path}/ranks").orderBy("id").select("rank").toPandas()
     ranks = order["rank"].to_numpy().astype(np.uint32)  # bounded by the vocabulary
-    ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(
+    # rows that share an id, or lack one, are dealt out as well
+    spread = ids.withColumn("by", F.xxhash64("ids"))
+    spread.repartitionByRange("doc_id", "by").sortWithinPartitions("doc_id", "by", "ids").drop("by").mapInArrow(
         _blocks(e.kind, ranks, block),
         "part long, block long, doc_ids array<long>, lengths array<long>, control binary, data binary"
     ).write.option("compression", "zstd").parquet(f"{path}/blocks")
