@@ -74,24 +74,22 @@ def prepared(rows: DataFrame, vec_id: str, vector: str, label: str) -> DataFrame
 
     def run(batches):
         for b in batches:
-            row, ids, labels = (b.column(i).to_pylist() for i in range(3))
-            col, out = b.column(3), []
-            dtype = np.float32 if pa.types.is_float32(col.type.value_type) else np.float64
-            for k, x in enumerate(col.to_pylist()):
-                if None in x:
-                    continue
-                v = np.array(x, dtype)
-                if not np.isfinite(v).all():
-                    continue
+            col = b.column(3)
+            size, start = np.diff(col.offsets.to_numpy()), col.offsets.to_numpy()[:-1]
+            flat = col.values.to_numpy(zero_copy_only=False)  # a NULL component becomes nan
+            for n in np.unique(size).tolist():
+                at = np.flatnonzero(size == n)
+                x = flat[start[at][:, None] + np.arange(n)]
+                good = np.isfinite(x).all(1)
+                at, x = pa.array(at[good]), x[good]
                 with np.errstate(over="ignore", invalid="ignore"):
-                    whole = np.floor(256 * v.astype(np.float64))
-                    mean, dev = summaries(whole[None])
-                out.append((row[k], ids[k], labels[k], len(v), float(np.abs(whole).max(initial=0)),
-                            v.tobytes(), mean.tobytes(), dev.tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], t) for i, t in enumerate(
-                    [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), *[pa.binary()] * 3])],
-                ["row", "vec_id", "label", "size", "most", "v", "mean", "dev"])
+                    whole = np.floor(256 * x.astype(np.float64))
+                    mean, dev = summaries(whole)
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(i).take(at) for i in range(3)), pa.array(np.full(len(x), n, np.int32)),
+                     pa.array(np.abs(whole).max(1, initial=0)),
+                     *(pa.array([r.tobytes() for r in m], pa.binary()) for m in (x, mean, dev))],
+                    ["row", "vec_id", "label", "size", "most", "v", "mean", "dev"])
 
     return stored(rows.select(
         F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"),
