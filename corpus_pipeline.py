@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import decontaminate, pieces, secrets, similar, toxicity
-from filigree.llm.work import numbered, stored, table
+from filigree.llm import decontaminate, pieces, secrets, simhash, toxicity
+from filigree.llm.work import numbered, stored, table, temporary
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,9 +16,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word similarity of at least 0.8) one row,
-    that with the smallest id."""
-    return similar.one_of_each(docs)
+    """Of each group of documents whose fingerprints (of 3-word shingles) are linked by
+    at most 3 differing bits one row, that with the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        with temporary(spark) as keep:  # a stage's working tables go once its rows are written
+            docs = keep(stored(stage(spark, docs, sf_dir), name))
+    return STAGES[-1][1](spark, docs, sf_dir)

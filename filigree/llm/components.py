@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filigree.llm.work import stored
+from filigree.llm.work import restored, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -41,7 +41,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = stored(edges, "links")
     before = _state(edges)
     while before[0]:
-        edges = stored(_stars(_stars(edges, True), False), "links")
+        edges = restored(_stars(_stars(edges, True), False), "links")
         after = _state(edges)
         if after == before:
             break

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filigree.llm.components import components
-from filigree.llm.work import small_batches, stored, table
+from filigree.llm.work import numbered, small_batches, stored, table
 
 BITS, SEGMENTS, MAX_BITS = 64, 8, 3
 WIDTH = BITS // SEGMENTS
@@ -181,14 +181,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return fps.join(reps, "fp").select("doc_id", "fp", "component_id")
 
 
-def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of their component, all columns as they
-    are. Rows that share an id are one document and stay or go together; rows with a
-    NULL id stay where no row of their fingerprint's component has an id."""
-    found = near_duplicates(docs, doc_id, text, **how)
-    kept = stored(found.where("component_id IS NULL OR doc_id = component_id").select(
-        F.col("doc_id").alias("_kept")).distinct(), "kept")
-    return docs.join(kept, F.col(doc_id).cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """Exactly one row of each component of near-duplicates, all columns as they are: the
+    one with the smallest id, of rows that share it any one; a row with a NULL id stays
+    only where no row of its component has an id. No rows give no rows."""
+    docs, row = numbered(docs)
+    found = near_duplicates(docs, row, text, **how)
+    ids = docs.select(F.col(row).alias("_number"), F.col(doc_id).cast("long").alias("_id"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_number"))
+    kept = found.join(ids, F.col("doc_id") == F.col("_number")).groupBy("component_id").agg(
+        first.alias("first")).select(F.col("first._number").alias("_kept"))
+    kept = stored(kept, "kept")
+    return docs.join(kept, docs[row] == kept["_kept"], "left_semi").drop(row)
 
 
 def op3_simhash(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,46 @@ def folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that are not yet let go, oldest first.
+_made: list[str] = []
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: what follows survives the
     loss of executors without computing it again."""
     spark = df.sparkSession
-    path = f"{folder(spark)}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    top = folder(spark)
+    _made.append(top)
+    df.write.option("compression", "zstd").parquet(f"{top}/{name}")
+    return spark.read.schema(df.schema).parquet(f"{top}/{name}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def restored(df: DataFrame, name: str = "table") -> DataFrame:
+    """As ``stored``, in place of the table stored last, which goes."""
+    df = stored(df, name)
+    _delete(df.sparkSession, _made.pop(-2))
+    return df
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables stored inside are deleted at the end, but for the one given to what this
+    yields: nothing that is still to be computed may need the others."""
+    since, kept = len(_made), []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(_made.pop())
+        return df
+
+    yield keep
+    while len(_made) > since:
+        _delete(spark, _made.pop())
+    _made.extend(kept)
 
 
 def numbered(df: DataFrame) -> tuple[DataFrame, str]:
