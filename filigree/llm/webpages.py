@@ -3,8 +3,8 @@
 Pages are ordered by host and path over all tasks; each is paired with the neighbour of
 its host that shares the longer start of its path. The text lines (blocks) of the two
 are aligned by longest common subsequence, and what they share is template and goes.
-Repeats of a line count as lines of their own (the second with the second), so the
-alignment is a longest increasing sequence and takes n log n steps for any page.
+The alignment is a longest common subsequence, by halves and bit rows: its memory is
+linear in the lines, whatever repeats.
 
 Structure comes first where a page has it: lines inside menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments go even if no other page has
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -113,32 +112,44 @@ def host_and_path(url: str | None) -> tuple[str | None, str | None]:
     return (host, u.path) if host else (None, None)
 
 
-def common(a: list[int], b: list[int]) -> np.ndarray:
-    """For each line of ``a``, whether it is in the longest common subsequence with ``b``."""
-    seen: dict = {}
-    places = {}
+def _prefix_lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each prefix of ``b``, in bit
+    rows: a bit that is off is a place of ``b`` where the length goes up by one."""
+    masks: dict[int, int] = {}
     for k, x in enumerate(b):
-        seen[x] = seen.get(x, 0) + 1
-        places[x, seen[x]] = k
-    seen.clear()
-    pairs = []
-    for k, x in enumerate(a):
-        seen[x] = seen.get(x, 0) + 1
-        if (x, seen[x]) in places:
-            pairs.append((k, places[x, seen[x]]))
-    tails, ends, back = [], [], []
-    for i, (_, place) in enumerate(pairs):
-        k = bisect_left(tails, place)
-        if k == len(tails):
-            tails.append(place)
-            ends.append(i)
-        else:
-            tails[k], ends[k] = place, i
-        back.append(ends[k - 1] if k else -1)
-    out, i = np.zeros(len(a), bool), ends[-1] if ends else -1
-    while i >= 0:
-        out[pairs[i][0]] = True
-        i = back[i]
+        masks[x] = masks.get(x, 0) | 1 << k
+    every = (1 << len(b)) - 1
+    row = every
+    for x in a:
+        met = row & masks.get(x, 0)
+        row = (row + met | row - met) & every
+    raw = np.frombuffer(row.to_bytes(-(-len(b) // 8), "little"), np.uint8)
+    up = 1 - np.unpackbits(raw, bitorder="little")[:len(b)].astype(np.int64)
+    return np.concatenate([[0], np.cumsum(up)])
+
+
+def common(a: list[int], b: list[int]) -> np.ndarray:
+    """For each line of ``a``, whether it is in a longest common subsequence with ``b``.
+    Halves of ``a`` are aligned apart, with the part of ``b`` that serves both best, so
+    memory stays linear; equal ends are taken off first."""
+    out, todo = np.zeros(len(a), bool), [(0, len(a), 0, len(b))]
+    while todo:
+        i, j, k, n = todo.pop()
+        while i < j and k < n and a[i] == b[k]:
+            out[i] = True
+            i, k = i + 1, k + 1
+        while i < j and k < n and a[j - 1] == b[n - 1]:
+            out[j - 1] = True
+            j, n = j - 1, n - 1
+        if i == j or k == n:
+            continue
+        if j - i == 1:
+            out[i] = a[i] in b[k:n]
+            continue
+        middle = (i + j) // 2
+        best = _prefix_lengths(a[i:middle], b[k:n]) + _prefix_lengths(a[middle:j][::-1], b[k:n][::-1])[::-1]
+        cut = k + int(best.argmax())
+        todo += [(i, middle, k, cut), (middle, j, cut, n)]
     return out
 
 
