@@ -1,18 +1,23 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
 Equal vectors are one node with a count. Cells are the Voronoi cells of centres fitted
-on a bounded sample; every vector has one home cell and also goes to each cell whose
-border is within ``MARGIN``: two vectors at distance d differ by about d / sqrt(dim)
-across a border, so 0.1 is 2.5 deviations of the longest linked distance in 64
-dimensions. A cell with more than ``BLOCK`` vectors at home is dealt out as blocks, and
-all that visit the cell visit each block. On each of these overlapping shards a graph
-is built: nearest neighbours and a few far ones, pruned robustly (a neighbour goes if
-one that is kept is closer to it by the factor ``ALPHA``), with the way back. The
-adjacency lists of a vector in different shards are united, and every vector is
-searched for in every shard it is in: greedily from the medoid, then on through all
-neighbours of what is near enough. A hit counts where it is at home, so it counts once,
-and only with a cosine, in double precision, of at least the bound. Counts and a
-spanning forest leave a shard, never all pairs.
+on a bounded sample; cells that are still large are divided again, by centres of their
+own. Every vector has one home cell and also goes to each cell whose border is near: two
+vectors at distance d differ by about d / sqrt(dim) across a border, so a margin of 2.5
+such deviations of the longest linked distance loses few links.
+
+A shard is a block of at most about ``BLOCK`` vectors that are at home in a cell, where a
+cell has several the next block as well, and about as many from beyond the border, so
+shards overlap and none holds much more than three blocks. On each shard a graph is built: nearest neighbours and a few far ones, pruned
+robustly (a neighbour goes if one that is kept is closer to it by the factor ``ALPHA``),
+with the way back. The adjacency lists of a vector in different shards are united. All
+members of a cell search each of its shards, streamed past it: greedily from the medoid,
+then on through all neighbours of what is near enough. A hit counts where it is at home
+and in its own block, so it counts once, and only with a cosine, in double precision, of
+at least the bound. Counts and a spanning forest leave a shard, never all pairs.
+
+The links of some vectors are then counted by comparing them with all others. If too few
+were found, all is done again with a wider margin, up to the distance that loses none.
 """
 
 from __future__ import annotations
@@ -21,13 +26,18 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filigree.llm.components import components
 from filigree.llm.work import stored, table
 
-COSINE, SAMPLE, CELL, CELLS, BLOCK, MARGIN = 0.95, 20_000, 1000, 1024, 1000, 0.1
+COSINE, SAMPLE, CELL, CELLS, BLOCK = 0.95, 20_000, 1000, 1024, 1000
+#: Deviations of a linked difference that the margin covers, at first and if recall is
+#: below ``RECALL`` of the links of ``AUDITED`` vectors; infinity is the whole distance.
+MARGINS, RECALL, AUDITED = (2.5, 5.0, float("inf")), 0.95, 256
+#: A cell of more blocks than this is divided by ``PARTS`` centres of its own.
+LARGE, PARTS = 8, 64
 NEAR, FAR, DEGREE, ALPHA, BEAM = 32, 4, 12, 1.2, 12
 
 
@@ -68,13 +78,36 @@ def centres(sample: list[bytes], n: int, cell: int, seed: int = 3) -> dict[int,
     return found
 
 
-def assigned(nodes: DataFrame, found: dict[int, np.ndarray], margin: float) -> DataFrame:
+def margin_of(size: int, cosine: float, deviations: float) -> float:
+    """How near a border may be, for vectors of ``size`` components."""
+    longest = float(np.sqrt(max(0.0, 2 - 2 * cosine))) * (1 + 1e-9)
+    return min(longest, deviations * longest / max(size, 1) ** 0.5)
+
+
+def _visited(x: np.ndarray, c: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and cells they go to, and which cell is each row's home."""
+    dot = x @ c.T
+    home = dot.argmax(1)
+    apart = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0))[home] if len(c) <= len(x) else np.sqrt(np.maximum(2 - 2 * (c[home] @ c.T), 0))
+    near = dot.max(1)[:, None] - dot <= margin * apart
+    near[np.arange(len(x)), home] = True
+    return *np.nonzero(near), home
+
+
+_MEMBER = ["cell", "cid", "m", "v", "home"]
+
+
+def _members(names, who, cids, ms, vs, home):
+    return pa.RecordBatch.from_arrays([
+        pa.array(names), pa.array([cids[i] for i in who]), pa.array([ms[i] for i in who]),
+        pa.array([vs[i] for i in who], pa.binary()), pa.array(home)], _MEMBER)
+
+
+def assigned(nodes: DataFrame, found: dict[int, np.ndarray], cosine: float, deviations: float) -> DataFrame:
     """``(cell, cid, m, v, home)``: each node in its home cell and in those nearby."""
     shared = nodes.sparkSession.sparkContext.broadcast(found)
 
     def run(batches):
-        apart = {s: np.linalg.norm(c[:, None] - c[None], axis=2) if len(c) <= 256 else None
-                 for s, c in shared.value.items()}
         for b in batches:
             rows = {}
             for cid, m, v in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
@@ -82,33 +115,61 @@ def assigned(nodes: DataFrame, found: dict[int, np.ndarray], margin: float) -> D
             for size, part in rows.items():
                 c = shared.value.get(size, np.zeros((1, size // 8)))
                 x = np.frombuffer(b"".join(p[2] for p in part)).reshape(len(part), -1)
-                dot = x @ c.T
-                home = dot.argmax(1)
-                d = apart[size][home] if apart.get(size) is not None else \
-                    np.sqrt(np.maximum(2 - 2 * (c[home] @ c.T), 0))
-                near = dot.max(1)[:, None] - dot <= margin * d
-                near[np.arange(len(part)), home] = True
-                who, cell = np.nonzero(near)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([f"{size}-{k}" for k in cell]), pa.array([part[i][0] for i in who]),
-                    pa.array([part[i][1] for i in who]), pa.array([part[i][2] for i in who], pa.binary()),
-                    pa.array(cell == home[who])], ["cell", "cid", "m", "v", "home"])
+                who, cell, home = _visited(x, c, margin_of(size // 8, cosine, deviations))
+                yield _members([f"{size}-{k}" for k in cell], who, *zip(*part, strict=True), cell == home[who])
 
     return nodes.select("cid", "m", "v").mapInArrow(
         run, "cell string, cid long, m long, v binary, home boolean")
 
 
+def divided(members: DataFrame, block: int, cosine: float, deviations: float) -> DataFrame:
+    """Members with large cells divided: ``PARTS`` members, the first by a hash, are the
+    centres. A cell's members are dealt out in slices, each of which gets the centres."""
+    sizes = members.groupBy("cell").count()
+    large = sizes.where(F.col("count") > LARGE * block).select(
+        "cell", F.ceil(F.col("count") / (LARGE * block)).cast("int").alias("n"))
+    inside = members.join(large, "cell")
+    order = Window.partitionBy("cell").orderBy(F.xxhash64("cid"), "cid")
+    seeds = inside.where("home").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= PARTS).select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("slice"), F.lit(0).alias("side"), "cid", "m", "v", "home")
+    rest = inside.select("cell", F.pmod(F.xxhash64("cid"), "n").cast("int").alias("slice"), F.lit(1).alias("side"),
+                         "cid", "m", "v", "home")
+
+    def run(batches):
+        for (cell, _), centre, queries in _shards(batches, 2):
+            c = np.frombuffer(b"".join(r[2] for r in centre)).reshape(len(centre), -1) if centre else None
+            for part in queries:
+                if c is None:  # only visitors: nothing is at home here
+                    continue
+                x = np.frombuffer(b"".join(r[2] for r in part)).reshape(len(part), -1)
+                who, sub, home = _visited(x, c, margin_of(x.shape[1], cosine, deviations))
+                own = np.array([r[3] for r in part])
+                yield _members([f"{cell}.{k}" for k in sub], who, [r[0] for r in part], [r[1] for r in part],
+                               [r[2] for r in part], own[who] & (sub == home[who]))
+
+    cut = seeds.unionByName(rest).repartition("cell", "slice").sortWithinPartitions("cell", "slice", "side").mapInArrow(
+        run, "cell string, cid long, m long, v binary, home boolean")
+    return members.join(large.select("cell"), "cell", "left_anti").unionByName(cut)
+
+
 def dealt(members: DataFrame, block: int) -> DataFrame:
-    """Members with their shard: cells with many at home are blocks of them, and each
-    block is visited by all of the cell."""
-    size = members.where("home").groupBy("cell").count().where(F.col("count") > block).select(
-        "cell", F.ceil(F.col("count") / block).cast("int").alias("n"))
-    n = F.coalesce("n", F.lit(1))
-    own = F.pmod(F.xxhash64("cid"), n).cast("int")
-    return members.join(size, "cell", "left").select(
-        "*", own.alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("block")).select(
-        F.concat_ws("/", "cell", "block").alias("shard"), "cid", "m", "v",
-        (F.col("home") & (F.col("own") == F.col("block"))).alias("home"))
+    """``(shard, side, cid, m, v, target)``: nodes of a shard (``side`` 0), and all members
+    of its cell as visitors (``side`` 1). Nodes are a block of those at home, where there
+    are several blocks the next one too, and about a block of those from beyond the
+    border; a cell without any at home has no shard."""
+    size = members.groupBy("cell").agg(F.count_if("home").alias("h"), F.count_if(~F.col("home")).alias("g")).where("h > 0").select(
+        "cell", F.ceil(F.col("h") / block).cast("int").alias("n"),
+        F.greatest(F.ceil(F.col("g") / block), F.lit(1)).cast("int").alias("w"))
+    rows = members.join(size, "cell").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("n")).cast("int"))
+    beyond = F.pmod(F.xxhash64("cid", F.lit(1)), F.col("w")) == 0
+    blocks = F.when(F.col("home") & (F.col("n") > 1), F.array("own", F.pmod(F.col("own") + 1, F.col("n")))).otherwise(F.array("own"))
+    nodes = rows.where(F.col("home") | beyond).select(
+        "cell", "own", F.explode(blocks).alias("block"), F.lit(0).alias("side"), "cid", "m", "v", "home")
+    visitors = rows.select(
+        "cell", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"), F.lit(1).alias("side"), "cid", "m", "v", "home")
+    return nodes.unionByName(visitors).select(
+        F.concat_ws("/", "cell", "block").alias("shard"), "side", "cid", "m", "v",
+        (F.col("home") & (F.col("own") == F.col("block"))).alias("target"))
 
 
 def pruned(x: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -179,24 +240,46 @@ def _search(x, first, nbrs, medoid, q, bound):
     return np.concatenate(out)
 
 
-def _shards(batches, columns):
-    """Whole shards, from batches sorted by shard."""
-    held, name = [], None
-    for b in batches:
-        for row in zip(*(b.column(i).to_pylist() for i in range(columns)), strict=True):
-            if row[0] != name and held:
+def _shards(batches, keys: int):
+    """``(key, nodes, parts of visitors)`` of each group of rows that come sorted by
+    ``keys`` columns and side; the rows without these. Parts have to be used up."""
+    def rows():
+        for b in batches:
+            yield from zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True)
+
+    stream = rows()
+    ahead = next(stream, None)
+    while ahead is not None:
+        key = ahead[:keys]
+
+        def take(side, key=key):
+            nonlocal ahead
+            while ahead is not None and ahead[:keys] == key and ahead[keys] == side:
+                row = ahead[keys + 1:]
+                ahead = next(stream, None)
+                yield row
+
+        nodes = list(take(0))
+
+        def parts(take=take):
+            held = []
+            for row in take(1):
+                held.append(row)
+                if len(held) == 1024:
+                    yield held
+                    held = []
+            if held:
                 yield held
-                held = []
-            name = row[0]
-            held.append(row)
-    if held:
-        yield held
+
+        yield key, nodes, parts()
+        for _ in take(1):
+            pass
 
 
 def _build(batches):
-    for rows in _shards(batches, 3):
-        ids = np.array([r[1] for r in rows])
-        a, b = pruned(np.frombuffer(b"".join(r[2] for r in rows)).reshape(len(rows), -1))
+    for _, rows, _ in _shards(batches, 1):
+        ids = np.array([r[0] for r in rows], np.int64)
+        a, b = pruned(np.frombuffer(b"".join(r[1] for r in rows)).reshape(len(rows), -1))
         first = np.searchsorted(a, np.arange(len(rows) + 1))
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(
             pa.array(first, pa.int32()), pa.array(ids[b]))], ["cid", "near"])
@@ -204,101 +287,137 @@ def _build(batches):
 
 def _searcher(bound: float):
     def run(batches):
-        for rows in _shards(batches, 6):
-            ids = np.array([r[1] for r in rows])
-            m, home = np.array([r[2] for r in rows]), np.array([r[4] for r in rows])
-            x = np.frombuffer(b"".join(r[3] for r in rows)).reshape(len(rows), -1)
+        for _, rows, visitors in _shards(batches, 1):
+            # cid, m, v, target, near
+            if not rows:
+                continue
+            ids = np.array([r[0] for r in rows], np.int64)
+            m, target = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
+            x = np.frombuffer(b"".join(r[2] for r in rows)).reshape(len(rows), -1)
             order = np.argsort(ids)
             lists = []
             for r in rows:  # neighbours that are in this shard
-                k = np.searchsorted(ids[order], r[5])
-                k = order[np.minimum(k, len(ids) - 1)]
-                lists.append(k[ids[k] == np.array(r[5], np.int64)])
+                near = np.array(r[4], np.int64)
+                k = order[np.minimum(np.searchsorted(ids[order], near), len(ids) - 1)]
+                lists.append(k[ids[k] == near])
             first = np.cumsum([0] + [len(k) for k in lists])
             nbrs = np.concatenate([*lists, np.zeros(0, int)]).astype(int)
             medoid = int((x @ x.mean(0)).argmax())
-            root, counts, links = np.arange(len(ids)), np.zeros(len(ids), np.int64), []
-            for k in range(len(ids)):
-                hit = _search(x, first, nbrs, medoid, x[k], bound)
-                hit = hit[home[hit] & (hit != k)]
-                counts[k] = m[hit].sum()
-                roots, at = np.unique(root[hit], return_index=True)
-                for r, h in zip(roots.tolist(), hit[at].tolist(), strict=True):
-                    if r != root[k]:
-                        links.append((ids[k], ids[h]))
-                        root[root == r] = root[k]
-            a = np.array(links, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.append(ids, a[:, 0])),
-                pa.array(np.append(counts, np.zeros(len(a), np.int64))),
-                pa.array([None] * len(ids) + a[:, 1].tolist(), pa.int64())], ["a", "n", "b"])
+            root, place = np.arange(len(ids)), {c: k for k, c in enumerate(ids.tolist())}
+
+            def asked(queries):
+                who, counts, links = [], [], []
+                for q, v in queries:
+                    hit = _search(x, first, nbrs, medoid, v, bound)
+                    hit = hit[target[hit] & (ids[hit] != q)]
+                    who.append(q)
+                    counts.append(int(m[hit].sum()))
+                    if not len(hit):
+                        continue
+                    own = root[place[q]] if q in place else -1
+                    roots, at = np.unique(root[hit], return_index=True)
+                    for r, h in zip(roots.tolist(), hit[at].tolist(), strict=True):
+                        if r != own:
+                            links.append((q, ids[h]))
+                            root[root == r] = own if own >= 0 else roots[0]
+                a = np.array(links, np.int64).reshape(-1, 2)
+                return pa.RecordBatch.from_arrays([
+                    pa.array(np.append(np.array(who, np.int64), a[:, 0])),
+                    pa.array(np.append(np.array(counts, np.int64), np.zeros(len(a), np.int64))),
+                    pa.array([None] * len(who) + a[:, 1].tolist(), pa.int64())], ["a", "n", "b"])
+
+            for part in visitors:
+                yield asked((r[0], np.frombuffer(r[2])) for r in part)
     return run
 
 
+def _found(nodes: DataFrame, centre: dict, cosine: float, deviations: float, block: int) -> DataFrame:
+    """``(v, least, c, n_links)`` of each node, ``c`` naming its component."""
+    members = stored(assigned(nodes, centre, cosine, deviations), "members")
+    members = divided(members, block, cosine, deviations)
+    rows = stored(dealt(members, block), "shards")
+    own = rows.where("side = 0").select("shard", "side", "cid", "v")
+    graph = own.repartition("shard").sortWithinPartitions("shard", "cid").mapInArrow(_build, "cid long, near array<long>")
+    # a list per shard a vector is in, each of a few dozen
+    graph = stored(graph.groupBy("cid").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
+    columns = ["shard", "side", "cid", "m", "v", "target"]
+    met = rows.where("side = 0").join(graph, "cid").select(*columns, "near").unionByName(
+        rows.where("side = 1").select(*columns, F.lit(None).cast("array<long>").alias("near")))
+    hits = stored(met.repartition("shard").sortWithinPartitions("shard", "side", "cid").mapInArrow(
+        _searcher(cosine), "a long, n long, b long"), "hits")
+    comp = components(hits.where("b IS NOT NULL").select("a", "b"))
+    counts = hits.where("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
+    return nodes.join(counts, "cid", "left").join(comp, F.col("cid") == F.col("node"), "left").select(
+        "v", "least", F.coalesce("component", "cid").alias("c"),
+        (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"))
+
+
 def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
                  cosine: float = COSINE, sample: int = SAMPLE, cell: int = CELL,
-                 block: int = BLOCK, margin: float = MARGIN) -> DataFrame:
+                 block: int = BLOCK, margins=MARGINS, recall: float = RECALL, audited: int = AUDITED) -> DataFrame:
     """One row per row: ``vec_id``, ``n_links`` (other vectors at ``cosine`` or more),
-    ``component_id`` (the smallest id reachable by links, itself included), ``kept``.
+    ``component_id`` (the smallest id reachable by links, itself included), ``kept`` and
+    ``recall``, the share of the links of ``audited`` vectors that was found; the margin
+    was widened, as far as the last of ``margins``, while it was below ``recall``.
 
     A vector that is NULL, empty or zero, or has a NULL or non-finite component links
     with nothing, and so do vectors of different lengths. Equal vectors link. Rows with
     a NULL id are vectors like others, but can't name a component; repeated rows are
     vectors of their own. Other columns are not looked at. No rows give no rows."""
-    spark = rows.sparkSession
     base = stored(unit_vectors(rows, vec_id, vector), "vectors")
     nodes = stored(base.where("v IS NOT NULL").groupBy("v").agg(
         F.count("*").alias("m"), F.min("vec_id").alias("least")).withColumn(
         "cid", F.monotonically_increasing_id()), "nodes")
     n = nodes.count()
     fitted = nodes.orderBy(F.xxhash64("v"), "v").limit(sample).select("v").collect()  # bounded
-    found = centres([bytes(r.v) for r in fitted], n, cell) if n else {}
-    members = stored(dealt(assigned(nodes, found, margin), block), "members")
-    graph = members.select("shard", "cid", "v").repartition("shard").sortWithinPartitions("shard", "cid").mapInArrow(
-        _build, "cid long, near array<long>")
-    # a list per shard a vector is in, each of a few dozen
-    graph = stored(graph.groupBy("cid").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    hits = members.join(graph, "cid").select("shard", "cid", "m", "v", "home", "near").repartition(
-        "shard").sortWithinPartitions("shard", "cid").mapInArrow(_searcher(cosine), "a long, n long, b long")
-    hits = stored(hits, "hits")
-    comp = components(hits.where("b IS NOT NULL").select("a", "b"))
-    counts = hits.where("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
-    classes = nodes.join(counts, "cid", "left").join(comp, nodes.cid == comp.node, "left").select(
-        "v", "least", F.coalesce("component", "cid").alias("c"),
-        (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"))
-    classes = stored(classes, "classes")
+    centre = centres([bytes(r.v) for r in fitted], n, cell) if n else {}
+    truth = _true_links(nodes, cosine, audited)
+    for deviations in margins:
+        classes = stored(_found(nodes, centre, cosine, deviations, block), "classes")
+        share = _recall(classes, truth)
+        if share >= recall:
+            break
     names = classes.groupBy("c").agg(F.min("least").alias("component_id"))
     classes = classes.join(names, "c").select("v", "n_links", "component_id")
     component = F.coalesce("component_id", "vec_id")
     return base.join(classes, "v", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+        component.alias("component_id"), (F.col("vec_id") == component).alias("kept"), F.lit(share).alias("recall"))
 
 
-def audit_recall(spark: SparkSession, rows: DataFrame, found: DataFrame, vec_id: str = "vec_id",
-                 vector: str = "embedding", cosine: float = COSINE, queries: int = 256) -> float:
-    """The share of the links of ``queries`` vectors (the first by hash of the id) that
-    ``found`` has, by comparing these with all vectors. 1 if they have no links."""
-    base = unit_vectors(rows, vec_id, vector).where("v IS NOT NULL")
-    some = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(queries).collect()
-    if not some:
-        return 1.0
-    size = len(some[0].v)
-    some = [r for r in some if len(r.v) == size]
-    q = spark.sparkContext.broadcast(np.frombuffer(b"".join(bytes(r.v) for r in some)).reshape(len(some), -1))
+def _true_links(nodes: DataFrame, cosine: float, audited: int) -> list[tuple[bytes, int]]:
+    """Some vectors, the first by a hash, and how many rows they link with, by comparing
+    them with all."""
+    some = [bytes(r.v) for r in nodes.orderBy(F.xxhash64(F.lit(1), "v"), "v").limit(audited).collect()]
+    by_size = {s: [v for v in some if len(v) == s] for s in {len(v) for v in some}}
+    shared = nodes.sparkSession.sparkContext.broadcast(by_size)
 
     def run(batches):
-        total = np.zeros(len(q.value), np.int64)
+        total = {s: np.zeros(len(q), np.int64) for s, q in shared.value.items()}
         for b in batches:
-            x = [v for v in b.column(0).to_pylist() if len(v) == size]
-            if x:
-                total += (np.frombuffer(b"".join(x)).reshape(len(x), -1) @ q.value.T >= cosine).sum(0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["k", "n"])
-
-    true = {r.k: r.n - 1 for r in base.select("v").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()}
-    ids = spark.createDataFrame([(r.vec_id, true[k]) for k, r in enumerate(some)], "vec_id long, n long")
-    got, want = ids.join(found, "vec_id").agg(F.sum(F.least("n", "n_links")), F.sum("n")).first()
-    return float(got / want) if want else 1.0
+            rows = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+            for size, queries in shared.value.items():
+                own = [(v, m) for v, m in rows if len(v) == size]
+                if own:
+                    x = np.frombuffer(b"".join(v for v, _ in own)).reshape(len(own), -1)
+                    q = np.frombuffer(b"".join(queries)).reshape(len(queries), -1)
+                    total[size] += (q @ x.T >= cosine) @ np.array([m for _, m in own], np.int64)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([q for s in total for q in shared.value[s]], pa.binary()),
+            pa.array(np.concatenate([*total.values(), np.zeros(0, np.int64)]))], ["v", "n"])
+
+    if not some:
+        return []
+    counts = nodes.select("v", "m").mapInArrow(run, "v binary, n long").groupBy("v").agg(F.sum("n").alias("n"))
+    return [(bytes(r.v), r.n - 1) for r in counts.collect()]  # as many as were audited
+
+
+def _recall(classes: DataFrame, truth: list[tuple[bytes, int]]) -> float:
+    want = sum(n for _, n in truth)
+    if not want:
+        return 1.0
+    asked = classes.sparkSession.createDataFrame(truth, "v binary, n long")
+    return float(asked.join(classes, "v").agg(F.sum(F.least("n", "n_links"))).first()[0] or 0) / want
 
 
 def op9_vectors(spark, sf_dir):
