@@ -41,9 +41,9 @@ WARNINGS = "source_file string, n int, warning string, ch_upload string"
 
 
 def register_tables(root: str) -> dict[str, Table]:
-    def table(name, schema, partition_by=(), sort_by=(), keys=()):
+    def table(name, schema, partition_by=(), sort_by=(), keys=(), wide=False):
         merge = Merge(keys, filing_order) if keys else None
-        return Table(f"{root.rstrip('/')}/{name}", schema, partition_by, sort_by, merge)
+        return Table(f"{root.rstrip('/')}/{name}", schema, partition_by, sort_by, merge, wide)
 
     by_month = ("ch_upload",)
     return {
@@ -58,5 +58,5 @@ def register_tables(root: str) -> dict[str, Table]:
         "warnings": table("warnings", WARNINGS, by_month, ("source_file",)),
         "fact_checks": table("fact_checks", FACT_CHECKS, ("entry",)),
         "key_checks": table("key_checks", KEY_CHECKS, ("entry",)),
-        "quarantine": table("quarantine", QUARANTINE, ("ch_upload", "status")),
+        "quarantine": table("quarantine", QUARANTINE, ("ch_upload", "status"), wide=True),
     }

@@ -45,6 +45,13 @@ COMMITS, BUCKET = "_commits", "_bucket"
 TRIES, LOST_AFTER = 100, 60.0
 #: Entries of a partition from which ``fold`` rewrites it.
 FOLD_FROM = 16
+#: Bytes in memory that a task of a wide table writes, and the tasks up to which that
+#: holds: up to 200, Spark's shuffle writes rows straight to files, holding none. Beyond,
+#: a task writes up to ``MOST_BYTES`` first.
+TASK_BYTES, DIRECT_TASKS, MOST_BYTES = 128 << 20, 200, 1 << 30
+#: Bytes of stored keys from which reading builds tables of the keys alone instead of
+#: sorting the rows as well; fewer may be broadcast.
+MANY_KEYS = 8 << 20
 
 
 def _schema(ddl: str) -> types_.StructType:
@@ -232,6 +239,30 @@ class Store:
 
 # ---- tables ---------------------------------------------------------------------------
 
+def dealt_by_bytes(rows: DataFrame, layout: Sequence[str]) -> DataFrame:
+    """``rows`` in tasks of even bytes, partition after partition. Bytes are those in
+    memory: shuffled ones, which Spark's rebalancing goes by, may be a hundredth of them
+    where texts repeat themselves. The driver sees one row per partition."""
+    spark, layout = rows.sparkSession, list(layout)
+    width = reduce(Column.__add__, [F.coalesce(F.octet_length(f.name), F.lit(0)).cast("bigint") for f in rows.schema
+                                    if isinstance(f.dataType, types_.StringType)], F.lit(16 * len(rows.columns)))
+    sizes = sorted(rows.groupBy(*layout).agg(F.sum(width).alias("_bytes")).collect(),
+                   key=lambda r: [(r[c] is not None, r[c]) for c in layout])
+    total, begun, places = sum(r["_bytes"] for r in sizes), 0, []
+    for r in sizes:
+        places.append((*[r[c] for c in layout], float(begun), float(r["_bytes"])))
+        begun += r["_bytes"]
+    tasks = max(min(total // TASK_BYTES + 1, DIRECT_TASKS), total // MOST_BYTES)
+    at = F.broadcast(spark.createDataFrame(places, types_.StructType(
+        [types_.StructField(f"_at_{c}", rows.schema[c].dataType) for c in layout]
+        + [types_.StructField(c, types_.DoubleType()) for c in ("_begun", "_bytes")])))
+    share = F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)) / (1 << 20)
+    task = F.floor((F.col("_begun") + share * F.col("_bytes")) * tasks / max(total, 1))
+    return rows.join(at, [rows[c].eqNullSafe(at[f"_at_{c}"]) for c in layout], "left").withColumn(
+        "_task", F.least(F.coalesce(task, F.lit(0)), F.lit(tasks - 1)).cast("int")).repartitionById(
+        tasks, "_task").select(*rows.columns)
+
+
 @dataclass(frozen=True)
 class Merge:
     """One row per key: the newest by ``order``; ``first_seen`` stays at its earliest."""
@@ -249,6 +280,8 @@ class Table:
     sort_by: Sequence[str] = field(default=())
     #: A table with a rule is laid out by buckets of its keys, not by ``partition_by``.
     merge: Merge | None = None
+    #: Whether a row may hold a whole document; such rows are dealt by their bytes.
+    wide: bool = False
 
     @property
     def name(self) -> str:
@@ -313,6 +346,9 @@ class Table:
         if not touched or not keys:
             return self._union(spark, plain + [f.drop("_at") for f in touched])
         gone, rows = reduce(DataFrame.unionByName, keys), reduce(DataFrame.unionByName, touched)
+        if sum(size for e in entries if e["kind"] == "gone" for p, size in e["parts"].items()
+               if wanted is None or p in wanted) > MANY_KEYS:
+            gone = gone.hint("shuffle_hash")  # wide rows pass by unsorted
         on = [rows[c].eqNullSafe(gone[c]) for c in gone.columns if c != "_after"]
         return self._union(spark, [*plain, rows.join(gone, [*on, rows["_at"] < gone["_after"]], "left_anti").drop("_at")])
 
@@ -351,7 +387,9 @@ class Table:
             layout = [c for c in layout if c in rows.columns]
         if self.merge:
             rows = rows.withColumn(BUCKET, F.pmod(F.xxhash64(*self.merge.keys), self.merge.buckets).cast("int"))
-        if layout:
+        if layout and self.wide and kind != "gone":
+            rows = dealt_by_bytes(rows, layout)
+        elif layout:
             # rebalance splits a partition that holds most of the rows
             rows = rows.hint("rebalance", *[F.col(c) for c in layout])
         if self.sort_by and kind != "gone":

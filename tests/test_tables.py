@@ -243,3 +243,28 @@ def test_clean_leaves_what_it_does_not_know(spark, tmp_path):
 def test_a_month_label_is_checked(spark, tmp_path):
     with pytest.raises(ValueError):
         Table(f"{tmp_path}/t", "n long, m string", ("m",)).write(spark.range(1).selectExpr("id n", "'x' m"), ["../x"])
+
+
+def test_wide_rows_are_dealt_by_bytes_in_memory(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables_, "TASK_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(tables_, "MANY_KEYS", 0, raising=False)
+    held = register_tables(str(tmp_path))["quarantine"]
+    df = spark.range(3000).select(
+        F.col("id").cast("string").alias("source_file"), F.lit("p").alias("path"), F.lit(None).cast("string").alias("content"),
+        F.repeat(F.lit("ab"), F.lit(2000)).alias("comment"), F.lit(0).alias("attempts"),
+        F.when(F.col("id") % 100 > 0, "Jan-21").otherwise(F.when(F.col("id") % 200 > 0, "Feb-21")).alias("ch_upload"),
+        F.lit("failed").alias("status"))
+    want = sorted(map(tuple, df.collect()), key=str)
+    for k in range(2):  # 12 MB that compress to next to nothing
+        held.append(df, replacing=df.select("source_file", "ch_upload"))
+        assert seen(held, spark) == want
+        newest = held.store.state(spark).entries("quarantine")[-1]
+        parts = [f for _, _, fs in os.walk(f"{tmp_path}/{newest['dir']}") for f in fs if f.startswith("part-")]
+        assert 12 <= len(parts) <= 16
+    again = df.where("cast(source_file AS int) % 2 = 0")
+    held.append(again, replacing=again.select("source_file", "ch_upload"))
+    plan = held.read(spark)._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan  # the wide rows are not sorted
+    assert seen(held, spark) == want
+    held.append(df.limit(0))
+    assert seen(held, spark) == want
