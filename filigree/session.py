@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # Filings are large rows, so Python workers get few of them at a time; small
 # files are packed by their size, not by a 4 MB opening cost each.
@@ -38,12 +39,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 16):
-    """Hand few rows at a time to Python workers while whole documents are parsed:
-    the default of 10,000 filings would not fit in one Arrow batch."""
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(min(rows, int(before))))
+def small_batches(spark: SparkSession, rows: int = 256, size: int = 8 << 20):
+    """Hand few rows and bytes at a time to Python workers while whole documents are
+    parsed: the default of 10,000 filings would not fit in one Arrow batch."""
+    before = {_BATCH: spark.conf.get(_BATCH), _BATCH_BYTES: spark.conf.get(_BATCH_BYTES)}
+    spark.conf.set(_BATCH_BYTES, str(size))
+    spark.conf.set(_BATCH, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(_BATCH, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -28,6 +28,8 @@ LISTED = "source_file string, path string, ch_upload string, size bigint"
 _FOUND = "path string, folder string, size bigint"
 #: Bytes of one task's filings; a filing is never cut. What opening one counts for.
 TASK_BYTES, OPEN_BYTES = 128 << 20, 64 << 10
+#: Characters and filings from which a task hands on what it has read.
+BATCH_CHARS, BATCH_FILES = 4 << 20, 256
 
 
 def month_folders(spark: SparkSession, landing: str,
@@ -136,19 +138,23 @@ def read_contents(listed: DataFrame) -> DataFrame:
     def read(batches):
         import pyarrow as pa
 
+        schema = pa.schema([(c, pa.string()) for c in ("source_file", "path", "ch_upload", "content")])
+        found, held = [], 0
         for batch in batches:
-            for row in batch.to_pylist():
-                path = row["path"]
+            for file, path, label in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 store, inner = _store(path)
                 try:
                     with store.open_input_stream(inner) as stream:
                         text = stream.read().decode("utf-8", "ignore")
                 except FileNotFoundError:
                     continue
-                yield pa.RecordBatch.from_pylist(
-                    [{"source_file": row["source_file"], "path": path,
-                      "ch_upload": row["ch_upload"], "content": text}],
-                    pa.schema([(c, pa.string()) for c in ("source_file", "path", "ch_upload", "content")]))
+                found.append((file, path, label, text))
+                held += len(text)
+                if held >= BATCH_CHARS or len(found) == BATCH_FILES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], schema=schema)
+                    found, held = [], 0
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], schema=schema)
 
     rows, tasks = even_tasks(listed)
     return rows.repartitionById(tasks, "task").select("source_file", "path", "ch_upload").mapInArrow(
