@@ -227,3 +227,31 @@ def test_documents_other_than_inline_html():
     assert nil["text"] is None and nil["name"] == "u:Debtors"
     with pytest.raises(ValueError):
         ixbrl.read_elements("words only")
+
+
+def test_batches_of_filings_are_bounded_by_rows_and_bytes(spark):
+    from filigree.session import small_batches
+
+    def rows_of(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for chars, most, batches in ((100, 256, 3), (1_000_000, 10, 60)):  # 16 rows each would be 38
+        df = spark.range(600 if chars == 100 else 300).repartition(1).select(F.repeat(F.lit("x"), F.lit(chars)).alias("t"))
+        with small_batches(spark):
+            got = [r.n for r in df.mapInArrow(rows_of, "n bigint").collect()]
+        assert max(got) <= most and len(got) <= batches
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_short_names_kept_between_documents_change_nothing():
+    short = ixbrl._Names()
+    odd = "".join(f"<n{k}:tag a{k}:x='1'>t</n{k}:tag>" for k in range(12_000))
+    pages = ["<html><a:exclude/><nonFraction name='u:A' xsi:nil='true' contextRef='c'>1</nonFraction></html>",
+             "<html><nonNumeric name='u:B'>x<b:exclude>y</b:exclude></a:exclude>z</nonNumeric>", f"<html>{odd}</html>",
+             "<html><nonFraction NAME='u:A' i:nil='true' Scale='2'>1</nonFraction></html>"] * 2
+    for page in pages:
+        assert ixbrl.read_elements(page, short) == ixbrl.read_elements(page)
+    assert len(short) <= 10_001
