@@ -68,10 +68,12 @@ def _node(levels: list, get) -> Column:
 
 
 def fit(rows: DataFrame, features: list[str], label: str, trees: int = 8, depth: int = 3,
-        rate: float = 0.5, weight: float = 1.0) -> Trees | None:
+        rate: float = 0.5, weight: float = 1.0, times: str | None = None) -> Trees | None:
     """Learn ``label`` (0 or 1) from ``features`` (integers that are not NULL). None
-    without rows of both labels. ``rows`` is read once per level."""
-    n, ones = rows.agg(F.count("*"), F.coalesce(F.sum(label), F.lit(0))).first()
+    without rows of both labels. ``rows`` is read once per level. A row stands for as many
+    as its column ``times`` says, if given."""
+    many = F.lit(1) if times is None else F.col(times)
+    n, ones = rows.agg(F.coalesce(F.sum(many), F.lit(0)), F.coalesce(F.sum(many * F.col(label)), F.lit(0))).first()
     if not 0 < ones < n:
         return None
     model = Trees(math.log(ones / (n - ones)))
@@ -79,7 +81,7 @@ def fit(rows: DataFrame, features: list[str], label: str, trees: int = 8, depth:
                       for i, f in enumerate(features)))
     for _ in range(trees):
         p, levels = 1 / (1 + F.exp(-model.score())), []
-        sums = rows.select(*features, (p - F.col(label)).alias("g"), (p * (1 - p)).alias("h"))
+        sums = rows.select(*features, (many * (p - F.col(label))).alias("g"), (many * p * (1 - p)).alias("h"))
         while len(levels) < depth:
             split = _best(sums.select(_node(levels, F.col).alias("node"), "g", "h", F.explode(cells).alias("c")).groupBy(
                 "node", "c.feature", "c.value").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect(), weight)

@@ -4,11 +4,12 @@ Base spans are found by pattern and checked. Beside them, generators with high r
 propose overlapping candidates: anything like an address with an at-sign or its
 spellings, any run of digits and separators, any account-like run of capitals and
 digits. Boosted trees score a candidate by its format and context. They are trained
-here, on at most ``SAMPLE`` candidates by hash of their place (a bounded sample): those
+here, on all candidates, counted by their features, which are small whole numbers: those
 that hold a base span are the positive ones, and nothing that defines a base span as
-such (the plus of a phone number, the check digit of a card) is a feature. Per
-generator, the lowest score at which the training rows kept apart reach ``PRECISION``
-selects; candidates that overlap no base span then are spans of their own.
+such (the plus of a phone number, the check digit of a card) is a feature. A fifth of the
+candidates, by hash of their place, is kept apart; per generator, the lowest score at
+which these reach ``PRECISION`` selects; candidates that overlap no base span then are
+spans of their own.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from filigree.llm.work import stored, table
 SPANS = "array<struct<order:int,start:int,end:int,kind:string>>"
 BASE = ("email", "ip", "card", "phone")
 MADE = ("address", "number", "account")
-SAMPLE, PRECISION = 20_000, 0.9
+PRECISION = 0.9
 #: A match begins where no character that could begin it stands before, or right behind
 #: the match before it; so runs are read once. Possessive: nothing is given back.
 PATTERNS = {
@@ -111,18 +112,18 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
     return df.select("_doc", "_text", "_base", F.explode(F.array(made)).alias("_made"))
 
 
-def learn(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION):
-    """Whether a candidate is personal data, as a function of the candidate. None if the
-    candidates can't teach it, or no score is precise enough."""
+def learn(found: DataFrame, precision: float = PRECISION):
+    """Whether a candidate is personal data, as a function of the candidate, learnt from
+    all candidates. None if they can't teach it, or no score is precise enough."""
     rows = found.select(F.explode("_made").alias("c"), F.xxhash64("_text").alias("t")).select(
-        "c.*", F.xxhash64("t", "c.start", "c.end").alias("hash"))
-    rows = stored(rows.orderBy("hash").limit(sample).withColumn("y", F.col("known").cast("int"))
-                  .withColumn("apart", F.pmod("hash", F.lit(5)) == 4), "sample")
-    model = fit(rows.where("NOT apart"), list(FEATURES), "y")
+        "c.kind", *(F.col(f"c.{f}").alias(f) for f in FEATURES), F.col("c.known").cast("int").alias("y"),
+        (F.pmod(F.xxhash64("t", "c.start", "c.end"), F.lit(5)) == 4).alias("apart"))
+    rows = stored(rows.groupBy(*rows.columns).agg(F.count("*").alias("n")), "counts")
+    model = fit(rows.where("NOT apart"), list(FEATURES), "y", times="n")
     if model is None:
         return None
     bins = rows.where("apart").groupBy("kind", F.round(model.score(), 1).alias("s")).agg(
-        F.count("*").alias("n"), F.sum("y").alias("y")).collect()
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("y")).collect()
     least = {}
     for kind in MADE:
         n = y = 0
@@ -140,8 +141,7 @@ def learn(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION):
     return personal
 
 
-def personal_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE,
-                   precision: float = PRECISION) -> DataFrame:
+def personal_spans(docs: DataFrame, text: str = "text", precision: float = PRECISION) -> DataFrame:
     """Add ``base`` and ``spans`` to ``docs``: arrays of ``(order, start, end, kind)``,
     sorted by kind as listed (email, ip, card, phone, then address, number, account)
     and start. ``spans`` holds the base ones and the selected candidates that overlap
@@ -149,7 +149,7 @@ def personal_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE,
     none; a table that teaches nothing has base spans only. Columns of ``docs`` named
     ``base`` or ``spans`` are replaced, other columns are kept."""
     found = candidates(docs, text)
-    personal = learn(found, sample, precision)
+    personal = learn(found, precision)
     made = F.array().cast(SPANS) if personal is None else F.transform(
         F.filter("_made", lambda c: ~c["known"] & personal(c)), lambda c: F.struct(
             c["order"].alias("order"), c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")))

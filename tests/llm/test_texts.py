@@ -158,6 +158,20 @@ def test_pii(spark):
     assert pii.personal_spans(spark.createDataFrame([], EMPTY)).collect() == []
 
 
+def test_pii_learns_from_every_candidate(spark, monkeypatch):
+    rows = [(i, " ".join(f"{'no' if k % 3 else 'tel'} {'+' * (k % 3 == 0)}{(i * 250 + k) * 7919 + 10 ** 9} a" for k in range(250)))
+            for i in range(100)]
+    found = pii.candidates(frame(spark, rows), "text")
+    n, known = found.select(F.inline("_made")).agg(F.count("*"), F.count_if("known")).first()
+    assert n >= 25_000 and 0 < known < n
+    taught = []
+    keep = pii.stored
+    monkeypatch.setattr(pii, "stored", lambda df, name: taught.append(keep(df, name)) or taught[-1])
+    pii.learn(found)
+    assert taught[0].agg(F.sum("n"), F.sum(F.col("n") * F.col("y"))).first() == (n, known)
+    assert taught[0].count() < 1000  # few, whatever the number of candidates
+
+
 def test_pii_learns_and_redacts(spark):
     rows = [(k, f"{prose(k, 5)} call +1 ({200 + k}) 555-{1000 + k} now, order {k}{k} of {k + 3}.{k % 9} kg") for k in range(60)]
     rows += [(100 + k, f"{prose(k, 5)} call 1 ({300 + k}) 555-{2000 + k} now") for k in range(5)]
