@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filigree.llm import decontaminate, pieces, secrets, simhash, toxicity
-from filigree.llm.work import numbered, stored, table, temporary
+from filigree.llm.work import numbered, only, stored, table, temporary
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +25,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Rows that are not contaminated by the benchmark, whatever rows share their id."""
     docs, row = numbered(docs)
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), doc_id=row)
-    bad = stored(found.where("contaminated").select(F.col("doc_id").alias("_bad")), "contaminated")
-    return docs.join(bad, docs[row] == bad["_bad"], "left_anti").drop(row)
+    return only(docs, row, found.where("contaminated").select("doc_id"), stay=False)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filigree.llm.components import components
-from filigree.llm.work import numbered, small_batches, stored, table
+from filigree.llm.work import numbered, only, small_batches, stored, table
 
 BITS, SEGMENTS, MAX_BITS = 64, 8, 3
 WIDTH = BITS // SEGMENTS
@@ -191,8 +191,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **h
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_number"))
     kept = found.join(ids, F.col("doc_id") == F.col("_number")).groupBy("component_id").agg(
         first.alias("first")).select(F.col("first._number").alias("_kept"))
-    kept = stored(kept, "kept")
-    return docs.join(kept, docs[row] == kept["_kept"], "left_semi").drop(row)
+    return only(docs, row, kept)
 
 
 def op3_simhash(spark, sf_dir):

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bits of one of Spark's bitmaps.
+BITMAP = 1 << 15
 
 
 def folder(spark: SparkSession) -> str:
@@ -64,15 +66,46 @@ def temporary(spark: SparkSession):
     _made.extend(kept)
 
 
+def _unused(df: DataFrame, name: str) -> str:
+    while name in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def numbered(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` with a row number behind, and that column's name. It is written, so every
     reading gives a row the same number."""
-    name = "_row"
-    while name in {c.lower() for c in df.columns}:
-        name = f"_{name}"
+    name = _unused(df, "_row")
     return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+def bitmaps(places: DataFrame) -> DataFrame:
+    """``(block, bits)`` of a table of one column of whole numbers, none negative or NULL.
+    Narrow rows are dealt by block first: partial bitmaps of every task would be as many
+    as tasks and blocks together."""
+    at = F.col(f"`{places.columns[0]}`").cast("long")
+    return places.select(F.shiftright(at, 15).alias("block"), at.bitwiseAND(F.lit(BITMAP - 1)).alias("bit")).repartition(
+        "block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def bit_is_set(bits, place):
+    """Whether ``bits``, of the block of ``place``, holds it. NULL if there are none."""
+    bit = place.bitwiseAND(F.lit(BITMAP - 1)).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, bit.bitwiseAND(F.lit(7))) == 1
+
+
+def only(df: DataFrame, row: str, picked: DataFrame, stay: bool = True) -> DataFrame:
+    """Rows of ``df``, as ``numbered`` gave them, whose number ``picked`` (one column)
+    holds, or (not ``stay``) does not; without the number. ``df`` is read in place,
+    whatever the sizes: all tasks get the picked numbers as bits, one a row of ``df``."""
+    block, bits = _unused(df, "_block"), _unused(df, "_bits")
+    sets = stored(bitmaps(picked).toDF(block, bits), "bits")
+    held = F.coalesce(bit_is_set(F.col(bits), F.col(row)), F.lit(False))
+    return df.join(F.broadcast(sets), F.shiftright(df[row], 15) == sets[block], "left").where(
+        held if stay else ~held).drop(block, bits, row)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import this package from where it is; on a
     cluster it is installed or sent with the job."""

@@ -2,7 +2,10 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
+from filigree.llm.work import numbered, only
 from tests.llm.helpers import frame, pairs_to_components, prose, texts
 from tests.llm.test_texts import EMPTY, slow_fingerprint
 
@@ -46,3 +49,38 @@ def test_only_contaminated_rows_go(spark, tmp_path):
     assert got.columns == docs.columns
     key = lambda x: (str(x[0]), str(x[1]))
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == sorted((x for x in rows if x[1] != bad), key=key)
+
+
+@pytest.mark.parametrize("stay", [True, False])
+def test_picked_rows_without_dealing_out_the_rest(spark, stay):
+    """However many are picked, the texts stay where they are."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(0, 100_000, 1, 3).select("id", F.lit("t").alias("_block"), F.lit(None).cast("string").alias("_bits"))
+    rows, row = numbered(docs)
+    for rule in ("id % 3 = 1", "id < 40000", "id < 0", "true"):
+        picked = rows.where(rule).select(F.col(row).alias("_picked"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            got = only(rows, row, picked, stay)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert got.columns == docs.columns and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+            want = docs.where(rule if stay else f"not ({rule})")
+            assert got.count() == want.count() and got.select("id").exceptAll(want.select("id")).isEmpty()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stages_leave_texts_where_they_are(spark, tmp_path):
+    """What stays is told by narrow rows, also where these are too many for Spark to broadcast unasked."""
+    spark.createDataFrame([(1, prose(4000, 40))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = frame(spark, [(k, prose(k, 30)) for k in range(4)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stage in (corpus_pipeline.near_duplicates_stage, corpus_pipeline.decontamination_stage):
+            got = stage(spark, docs, str(tmp_path))
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+            assert got.count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
