@@ -25,15 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filigree.llm.components import components
-from filigree.llm.work import numbered, small_batches, stored, table
+from filigree.llm.work import bit_is_set, bitmaps, numbered, small_batches, stored, table
 
 MIN_WORDS, SHINGLE, SIMILARITY, BANDS, ROWS, BLOCK = 20, 5, 0.8, 16, 4, 1000
 #: Neighbours among which a border of a passage is the least.
 SPAN = 15
 #: Words whose hashes a Python worker remembers; shingles whose MinHash is taken at once.
 REMEMBERED, AT_ONCE = 500_000, 1024
-#: Bits of the set that tells which hashes may repeat, and of one of its bitmaps.
-SET_BITS, BITMAP = 1 << 25, 1 << 15
+#: Bits of the set that tells which hashes may repeat.
+SET_BITS = 1 << 25
 _rng = np.random.default_rng(11)
 FACTORS = _rng.integers(1, 1 << 62, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 SHIFTS = _rng.integers(0, 1 << 62, BANDS * ROWS, dtype=np.uint64)
@@ -198,12 +198,9 @@ def _may_repeat(rows: DataFrame, key: str) -> DataFrame:
     size (4 MB) of the repeated keys goes to all tasks, so the rest is never shuffled."""
     twice = rows.groupBy(key).count().where("count > 1")
     place = F.pmod(F.xxhash64(key), F.lit(SET_BITS))
-    bits = twice.select((place / BITMAP).cast("int").alias("_at"), (place % BITMAP).alias("_bit")).groupBy("_at").agg(
-        F.bitmap_construct_agg("_bit").alias("_bits"))
-    placed = rows.withColumn("_place", place).withColumn("_at", (F.col("_place") / BITMAP).cast("int"))
-    bit = (F.col("_place") % BITMAP).cast("int")
-    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return placed.join(F.broadcast(bits), "_at").where(F.getbit(byte, bit % 8) == 1).select(*rows.columns)
+    bits = bitmaps(twice.select(place))
+    placed = rows.withColumn("_place", place).withColumn("block", F.shiftright("_place", 15))
+    return placed.join(F.broadcast(bits), "block").where(bit_is_set(F.col("bits"), F.col("_place"))).select(*rows.columns)
 
 
 # ---- near paragraphs -----------------------------------------------------------------
@@ -255,6 +252,15 @@ def _verified(similarity: float):
     return run
 
 
+def distinct_groups(met: DataFrame) -> DataFrame:
+    """``met (key, pair, cid)`` with one of the groups that hold the same classes: like
+    paragraphs share most of their bands, and one comparison tells. Lone classes go. The
+    classes of a key are dealt by blocks, so a group holds those of two at most."""
+    groups = met.groupBy("key", "pair").agg(F.array_sort(F.collect_list("cid")).alias("cids")).where(F.size("cids") > 1)
+    one = groups.groupBy("cids").agg(F.min(F.struct("key", "pair")).alias("at"))
+    return one.select("at.key", "at.pair", F.explode("cids").alias("cid"))
+
+
 def near_paragraphs(base: DataFrame, similarity: float, block: int) -> DataFrame:
     """``(row, start, end)`` of paragraphs that an earlier one repeats."""
     paras = base.select("doc_id", "row", F.posexplode(F.arrays_zip("pos", "start", "end", "hash")).alias("nth", "p")).select(
@@ -272,7 +278,7 @@ def near_paragraphs(base: DataFrame, similarity: float, block: int) -> DataFrame
     own = F.pmod(F.xxhash64("cid"), F.col("n")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1),
                         lambda j: F.least(own, j) * F.col("n") + F.greatest(own, j))
-    met = stored(met.select("key", F.explode(pairs).alias("pair"), "cid"), "met")
+    met = stored(distinct_groups(stored(met.select("key", F.explode(pairs).alias("pair"), "cid"), "met")), "groups")
     # the words of a class are those of its first paragraph
     asked = met.select("cid").distinct().join(classes.select("cid", "first.row", "first.nth"), "cid")
     words = base.select("row", F.posexplode("words").alias("nth", "words"))

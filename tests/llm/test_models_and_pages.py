@@ -140,6 +140,13 @@ def test_band_keys_are_those_of_each_set():
     assert all((whole[k] == paragraphs.band_keys(x, np.array([0]))[0]).all() for k, x in enumerate(sets))
 
 
+def test_groups_of_the_same_classes_meet_once(spark):
+    rows = [(1, 0, 5), (1, 0, 9), (2, 0, 9), (2, 0, 5), (2, 1, 5), (3, 0, 5), (3, 0, 9), (3, 0, 7), (4, 0, 7),
+            (5, 2, 7), (5, 2, 5), (5, 2, 9)]
+    got = paragraphs.distinct_groups(spark.createDataFrame(rows, "key long, pair int, cid long")).collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 5), (1, 0, 9), (3, 0, 5), (3, 0, 7), (3, 0, 9)]
+
+
 def test_passages_inside_and_across_lines(spark):
     passage = prose(900, 60).split()
     inside = lambda k: " ".join(prose(1000 + k, 90).split() + passage + prose(1100 + k, 80).split())
