@@ -15,6 +15,7 @@ executor leaves no half-written part.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 
@@ -95,8 +96,9 @@ class Encoder:
             again = words & old.keys()
             known.update((w, old[w]) for w in again)
             words = words - again
-        for w in words:
-            m = None if w.isalpha() else split(w)
+        plain.extend(filter(str.isalpha, words))
+        for w in itertools.filterfalse(str.isalpha, words):
+            m = split(w)
             if not m:
                 plain.append(w)
                 continue
@@ -148,11 +150,8 @@ class Encoder:
             head = [self.known.get(c) for c in start]
             if None in head:
                 chunks.update(start)
-            at, k = [], -1
-            for _ in range(ids.count(None)):
-                k = ids.index(None, k + 1)
-                at.append(k)
-            if at:
+            if None in ids:
+                at = [k for k, x in enumerate(ids) if x is None]
                 (words if of is self.words else chunks).update([own[k] for k in at])
                 gaps.append((ids, at, own, of))
             found.append((start, ids))
