@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-The distinct units of a batch (a word with the blanks before it) are joined into one
-text and indexed by a suffix array, sorted as far as the longest piece reaches. Every
+Texts are cut where no piece of the vocabulary reaches across. The distinct units of many
+texts are joined into one text and indexed by a suffix array, sorted as far as the longest piece reaches. Every
 piece of the vocabulary is looked up in it by binary search; a range of the array is
 all its occurrences. The occurrences are edges; they are sorted by position and
 relaxed from left to right.
@@ -16,15 +16,17 @@ scores, so units with runs of blanks are merged as they are.
 from __future__ import annotations
 
 import heapq
-import re
+import itertools
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from filigree.llm.slices import Memory, Slices, flat, groups
 from filigree.llm.work import small_batches, table
 
 BLANK = "▁"
@@ -60,7 +62,16 @@ class Model:
         self.names = np.array(names, object)
         self.low = self._keys(names, 0)
         self.high = self._keys(names, 255)
-        self.known: dict[str, bytes] = {}
+        # bytes that stand side by side in a piece, the latter beginning a character; no
+        # character is cut
+        self.border = np.ones((256, 256), bool)
+        self.border[:, 0x80:0xC0] = False
+        for p in self.id:
+            raw = p.replace(BLANK, " ").encode()
+            for a, b in itertools.pairwise(raw):
+                self.border[a, b] = False
+        self.memory = Memory(2 * REMEMBERED)
+        self.bare = pa.array(self.raw, pa.large_binary())
         self.pairs: dict[tuple[str, str], bool] = {}
         #: What the last merge of a piece joins; empty for a character, None where unwinding does not hold.
         self.splits: dict[str, tuple | None] = {}
@@ -69,8 +80,6 @@ class Model:
             counts[s] = counts.get(s, 0) + 1
         self.alike = {s for s, n in counts.items() if n > 1}
 
-    UNITS = re.compile(r" *[^ \n]+|\n| +")
-
     def _keys(self, texts: list[str], fill: int) -> np.ndarray:
         out = np.full((len(texts), self.longest, 3), fill, np.uint8)
         for k, t in enumerate(texts):
@@ -209,46 +218,73 @@ class Model:
             k -= len(last[k])
         return out[::-1]
 
-    def _learn(self, units: list[str]) -> None:
-        plain = []
-        for u in units:
+    def _learn(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit."""
+        out, plain = [b""] * len(units), []
+        for k, u in enumerate(units):
             t = u.replace(" ", BLANK)
             if BLANK * 2 in t:
-                self.known[u] = self._ids(self.merged(t))
+                out[k] = self._ids(self.merged(t))
             else:
-                plain.append((u, t))
+                plain.append((k, t))
         i = 0
         while i < len(plain):
             j, size = i, 0
             while j < len(plain) and (j == i or size + len(plain[j][1]) < INDEXED):
                 size += len(plain[j][1]) + 1
                 j += 1
-            self._index(plain[i:j])
+            for (k, _), ids in zip(plain[i:j], self._index([t for _, t in plain[i:j]]), strict=True):
+                out[k] = ids
             i = j
+        return out
 
-    def _index(self, plain: list[tuple[str, str]]) -> None:
-        joined = "\0".join(t for _, t in plain)
+    def _index(self, plain: list[str]) -> list[bytes]:
+        joined = "\0".join(plain)
         text = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         # code 0 parts the units; one that a unit holds is in no piece either
         ends, pieces = self.edges(text)
         names = self.names[pieces].tolist()
         at = np.searchsorted(ends, np.arange(len(text) + 2)).tolist()
-        start = 0
-        for u, t in plain:
-            self.known[u] = self._ids(self._relax(t, start, at, names))
+        start, out = 0, []
+        for t in plain:
+            out.append(self._ids(self._relax(t, start, at, names)))
             start += len(t) + 1
+        return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+    def _spaced(self, texts: pa.Array) -> pa.Array:
+        """Texts as the model takes them: a blank in front, but for empty ones."""
+        if pc.any(pc.match_substring(texts, BLANK)).as_py():
+            texts = pc.replace_substring(texts, BLANK, " ")
+        blank, none = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+        return pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(blank, texts, none))
+
+    def joined(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and at which of them each text begins and the last ends."""
         if len(self.pairs) > 2 * REMEMBERED:
             self.pairs.clear()
-        units = [self.UNITS.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
-        new = set().union(*units).difference(self.known)
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, u)), "<i4") for u in units]
+        data, ends = flat(self._spaced(texts))
+        cut = np.ones(len(data), bool)
+        cut[1:] = self.border[data[:-1], data[1:]]
+        s = Slices(data, ends, cut)
+        ids, at = s.together(self.memory.get(s.each, self._learn))
+        return ids.view("<i4"), at // 4
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        ids, at = self.joined(pa.array(texts, pa.large_string()))
+        return [ids[a:b] for a, b in itertools.pairwise(at.tolist())]
+
+    def exact(self, texts: pa.Array, ids: np.ndarray, at: np.ndarray) -> list[bool]:
+        """Whether decoding the ids of each text, as ``joined`` gives them, gives it back."""
+        raw, ends = flat(self.bare.take(pa.array(ids)))
+        ends = ends[at].tolist()
+        blank, none = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+        want, to = flat(pc.binary_join_element_wise(blank, texts, none))
+        raw, want, to, at, out = memoryview(raw), memoryview(want), to.tolist(), at.tolist(), []
+        for k in range(len(texts)):
+            a, b = ends[k:k + 2]
+            # equal bytes decode to equal texts; what else does is seen by decoding
+            out.append(raw[a:b] == want[to[k]:to[k + 1]] or self.decode(ids[at[k]:at[k + 1]]) == texts[k].as_py())
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -279,15 +315,13 @@ def encoded(docs: DataFrame, name: str = "piece_bpe_32k.model", doc_id: str = "d
 
     def run(batches):
         m = model(name)
-        for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            ids = m.encode(texts)
-            flat = np.concatenate([*ids, np.zeros(0, "<i4")])
+        for doc, texts in groups(batches):
+            ids, at = m.joined(texts)
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
-                pa.array([m.decode(x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()),
-                pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in ids]), pa.int32()), pa.array(flat))],
+                doc, pa.array(np.diff(at), pa.int64()),
+                pa.array([zlib.crc32(ids[a:b]) for a, b in itertools.pairwise(at.tolist())], pa.int64()),
+                pa.array(m.exact(texts, ids, at), pa.bool_()),
+                pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids))],
                 ["doc_id", "n_tokens", "ids_crc32", "exact", "ids"])
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(

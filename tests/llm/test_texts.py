@@ -144,6 +144,27 @@ def test_pieces_follow_as_merging_leaves_them():
     assert {p: m.follows(*p) for p in want} == want
 
 
+def test_units_are_learned_once():
+    """Words that differ in the marks behind them are one unit, cutting changes no id."""
+    from sentencepiece import SentencePieceProcessor
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, m, r = SentencePieceProcessor(model_file=path), pieces.Model(path), random.Random(6)
+    words = ["".join(r.choices("abcdefgh", k=8)) for _ in range(40)]
+    rows = [f"x {a}{x}{b}{y} c" for a in words for b in words[:9] for x in ",.-(" for y in ("!", "?")]
+    learned, index = [], m._index
+    m._index = lambda units: learned.extend(units) or index(units)
+    assert [x.tolist() for part in (rows[:999], rows[999:]) for x in m.encode(part)] == sp.encode(rows)
+    assert len(learned) == len(set(learned)) < 3 * 40
+    odd = ["", "▁", " ", "a▁b", "\n", "\0", "é\u0301", "中" * 50, "<0x41>", "\ufffd"]
+    for some in (odd, ["", ""], []):
+        texts_ = pa.array(some, pa.large_string())
+        ids, at = m.joined(texts_)
+        want = [m.decode(ids[a:b]) == t for a, b, t in zip(at, at[1:], some)]
+        assert m.exact(texts_, ids, at) == want and want == [t != "▁" and t != "a▁b" for t in some]
+
+
 def test_pieces(spark):
     df = pieces.encoded(frame(spark, texts()))
     rows = df.collect()
