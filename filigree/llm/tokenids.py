@@ -131,11 +131,13 @@ class Encoder:
 
     Texts are cut where its splitting always begins a token (``borders``), and each
     distinct slice is encoded once per worker, many in one string where the ids tell
-    them apart. A text that holds an added token is encoded in one.
+    them apart. Added tokens are slices of their own, and what is between them is split
+    as texts of their own are; texts that hold one with a rule for what is beside it are
+    encoded whole.
     """
 
     #: Slices that can be encoded many in one string.
-    PLAIN = re.compile(r" ?\S+").fullmatch
+    PLAIN = re.compile(r" ?\S{1,64}").fullmatch
 
     def __init__(self, path: str):
         # tasks run side by side; threads of their own would only wait for each other
@@ -150,11 +152,19 @@ class Encoder:
         self.starts[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
         self.breaks = np.zeros(self.size, bool)
         self.breaks[[i for t, i in vocabulary.items() if t == "Ċ"]] = True
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added, self.ruled = [], []
+        for t in self.tokenizer.get_added_tokens_decoder().values():
+            ruled = t.lstrip or t.rstrip or t.single_word or t.normalized
+            (self.ruled if ruled else self.added).append(t.content)
+        longest = sorted(self.added, key=len, reverse=True)
+        self.places = re.compile(b"|".join(re.escape(t.encode()) for t in longest)).finditer
         self.memory = Memory(REMEMBERED)
 
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encoded(self, texts: list[str]):
+        # one at a time: what the library returns is many times as large as the ids
+        for t in texts:
+            e, = self.tokenizer.encode_batch_fast([t], add_special_tokens=False)
+            yield np.array(e.ids, self.kind)
 
     def _learn(self, slices: list[str]) -> list[bytes]:
         """The ids of each slice."""
@@ -177,20 +187,27 @@ class Encoder:
                 last = [*(at[1:] * step).tolist(), len(raw)]
                 for k, a, b in zip(run, first, last, strict=True):
                     out[k] = raw[a:b]
-        for i in range(0, len(alone), 512):
-            part = alone[i:i + 512]
-            for k, ids in zip(part, self._encoded([slices[k] for k in part]), strict=True):
-                out[k] = ids.tobytes()
+        for k, ids in zip(alone, self._encoded([slices[k] for k in alone]), strict=True):
+            out[k] = ids.tobytes()
         return out
 
+    @staticmethod
+    def _holding(texts: pa.Array, some: list[str]) -> set[int]:
+        return {k for t in some for k in np.flatnonzero(pc.match_substring(texts, t).to_numpy(zero_copy_only=False)).tolist()}
+
     def joined(self, texts: pa.Array, end: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, as bytes of little-endian numbers of ``self.kind``,
         ``end`` behind each, and at which byte each text begins and the last ends."""
         data, ends = flat(texts)
-        cut = borders(data, ends)
-        for t in self.added:
-            for k in np.flatnonzero(pc.match_substring(texts, t).to_numpy(zero_copy_only=False)).tolist():
-                cut[ends[k]:ends[k + 1]] = False
+        added = [(ends[k] + m.start(), ends[k] + m.end()) for k in self._holding(texts, self.added)
+                 for m in self.places(data[ends[k]:ends[k + 1]])]
+        added = np.array(added, np.int64).reshape(-1, 2)
+        cut = borders(data, np.union1d(ends, added))
+        for a, b in added.tolist():
+            cut[a:b] = False
+        cut[added[added < len(data)]] = True
+        for k in self._holding(texts, self.ruled):
+            cut[ends[k]:ends[k + 1]] = False
         s = Slices(data, ends, cut)
         return s.together(self.memory.get(s.each, self._learn), end)
 

@@ -73,9 +73,19 @@ def test_ids_of_slices():
     e, plain, r = tokenids.Encoder(path), Tokenizer.from_file(path), random.Random(2)
     some = [*"ab TX  \n\n\t\r,.'’“—×÷éßĀȿɐЖ҂н中の。\u3000\x85\xa0\u2003\u2028\u1680\u180e\u200b😀09٣²\x0b\x1c\0", "'re", "n't", " <|endoftext|>"]
     rows = ["".join(r.choices(some, k=r.randint(0, 40))) for _ in range(3000)] + ["a   <|endoftext|>  b", "", " ", "x" * 500]
+    longest = []
+
+    class Watching:
+        def encode_batch_fast(self, texts, **kw):
+            longest.extend(map(len, texts))
+            return plain.encode_batch_fast(texts, **kw)
+
+    e.tokenizer = Watching()
+    rows.append("ab  <|endoftext|>\n c, <|endoftext|><|endoftext|> \n " * 3000)
     for part in (rows[:1000], rows[1000:]):
         got = [np.frombuffer(x, e.kind).tolist() for x in e.encode(part)]
         assert got == [x.ids for x in plain.encode_batch(part, add_special_tokens=False)]
+    assert max(longest) < 200 * 66
 
     class Counting:
         seen = 0
