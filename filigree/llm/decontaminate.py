@@ -33,6 +33,13 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(low, SEPARATORS), "")
 
 
+def listed(base: DataFrame) -> DataFrame:
+    """``base`` with the words as arrays, one row's at a time. They are stored as one
+    string: a batch of rows that is read has a string's bytes in memory instead of
+    several numbers, and as much again to grow, for each word of thousands of texts."""
+    return base.withColumn("w", F.array_remove(F.split("w", " "), ""))
+
+
 def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
     """``(win, items)``: each distinct window with the ids of its items, as strings."""
     w = items.select(F.col(item_id).cast("string").alias("item"), words(F.col(text)).alias("w"))
@@ -46,7 +53,7 @@ def rarest(base: DataFrame, windows: DataFrame) -> DataFrame:
     """``windows`` with the prefix token of each and its place in the window. A window
     with a word that no document has can't occur and is left out."""
     vocabulary = stored(windows.select(F.explode("win").alias("token")).distinct().coalesce(1), "words")
-    counts = base.select(F.explode("w").alias("token")).join(vocabulary, "token", "left_semi") \
+    counts = listed(base).select(F.explode("w").alias("token")).join(vocabulary, "token", "left_semi") \
         .groupBy("token").agg(F.count("*").alias("n"))
     places = windows.select("wid", F.posexplode("win").alias("at", "token"))
     first = places.join(counts, "token", "left").groupBy("wid").agg(
@@ -59,7 +66,7 @@ def surroundings(base: DataFrame, tokens: DataFrame, window: int, sent: int = SE
     """``(row, n_words, pos, token, from, near)`` of each place with a prefix token."""
     if tokens.count() <= sent:
         low = lambda c: F.greatest(c - window + 1, F.lit(0))
-        chunks = base.where("n_words > 0").select("row", "n_words", F.explode(F.transform(
+        chunks = listed(base.where("n_words > 0")).select("row", "n_words", F.explode(F.transform(
             F.sequence(F.lit(0), F.size("w") - 1, F.lit(CHUNK)), lambda c: F.struct(
                 c.alias("c"), low(c).alias("low"),
                 F.slice("w", low(c) + 1, c - low(c) + CHUNK + window - 1).alias("w")))).alias("k"))
@@ -71,9 +78,9 @@ def surroundings(base: DataFrame, tokens: DataFrame, window: int, sent: int = SE
             F.broadcast(tokens), "token", "left_semi").select(
             "row", "n_words", p.alias("pos"), "token", first.alias("from"),
             F.slice("w", first - low + 1, p - first + window).alias("near"))
-    places = base.select("row", F.posexplode("w").alias("pos", "token")).join(
+    places = listed(base).select("row", F.posexplode("w").alias("pos", "token")).join(
         tokens, "token", "left_semi").groupBy("row").agg(F.collect_list("pos").alias("places"))
-    return stored(places, "places").join(base.select("row", "w", "n_words"), "row").select(
+    return listed(stored(places, "places").join(base.select("row", "w", "n_words"), "row")).select(
         "row", "n_words", F.explode(F.transform("places", lambda p: F.struct(
             p.alias("pos"), F.get("w", p).alias("token"), F.greatest(p - window + 1, F.lit(0)).alias("from"),
             F.slice("w", F.greatest(p - window + 2, F.lit(1)), F.least(p, F.lit(window - 1)) + window).alias("near")
@@ -93,7 +100,8 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     no rows, no items give no hits."""
     base = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
-        words(F.col(text)).alias("w")).withColumn("n_words", F.size("w").cast("long")), "words")
+        words(F.col(text)).alias("w")).withColumn("n_words", F.size("w").cast("long")).withColumn(
+        "w", F.array_join("w", " ")), "words")
     windows = stored(item_windows(items, item_id, item_text, window).withColumn(
         "wid", F.monotonically_increasing_id()), "windows")
     windows = stored(rarest(base, windows).coalesce(1), "windows")

@@ -29,7 +29,7 @@ THRESHOLD = 0.3
 LENGTH, STRIDE, LONGEST_WORD = 24, 12, 32
 HIDDEN, WIDTH = 16, 16
 WORDS, GRAMS = 1 << 13, 1 << 14
-#: Words whose inputs a Python worker remembers (384 bytes each).
+#: Words whose inputs a task remembers (384 bytes each).
 REMEMBERED = 200_000
 #: Words whose inputs are laid out at a time.
 PART = 20_000
@@ -294,17 +294,6 @@ class Scorer:
         return _sigmoid(self.net.scale * np.maximum.reduceat(logit, first) + self.net.shift)
 
 
-_SCORERS: dict = {}
-
-
-def _scorer(net: Network) -> Scorer:
-    """One per Python worker and network."""
-    if net not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[net] = Scorer(net)
-    return _SCORERS[net]
-
-
 def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
@@ -340,7 +329,7 @@ def scored(docs: DataFrame, net: Network | None, doc_id: str = "doc_id", text: s
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
-        scorer = _scorer(shared.value)
+        scorer = Scorer(shared.value)  # goes with the task: an idle worker's memory counts for what runs next
         for b in batches:
             if b.num_rows:
                 score = scorer.scores(b.column(1).to_pylist())
@@ -361,7 +350,7 @@ def without_toxic(docs: DataFrame, net: Network | None, text: str = "text",
     at = docs.columns.index(text)
 
     def run(batches):
-        scorer = _scorer(shared.value)
+        scorer = Scorer(shared.value)  # as above
         for b in batches:
             if b.num_rows:
                 yield b.filter(pa.array(scorer.scores(b.column(at).to_pylist()) < threshold))

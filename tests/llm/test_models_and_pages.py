@@ -75,6 +75,24 @@ def test_toxicity(spark):
     assert kept.count() == sum(r.score < 0.3 for r in got)
 
 
+def test_idle_workers_remember_no_words(spark):
+    """What a task has remembered goes with it: workers stay beside the tasks that run next."""
+    net = toxicity.train(["good day", "you idiot"] * 10, [0, 1] * 10, [1.0] * 20, rounds=2)
+    docs = frame(spark, [(k, prose(k, 30)) for k in range(8)]).repartition(4)
+    assert toxicity.without_toxic(docs, net, threshold=2.0).count() == toxicity.scored(docs, net).count() == 8
+
+    def held(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for b in batches:
+            found = sum(type(x).__name__ == "Scorer" for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([found] * b.num_rows)], ["doc_id", "n"])
+
+    assert {r.n for r in docs.select("doc_id").mapInArrow(held, "doc_id long, n long").collect()} == {0}
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     df = frame(spark, texts())

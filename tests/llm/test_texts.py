@@ -317,6 +317,18 @@ def test_contamination(spark, sent):
     assert decontaminate.contamination(spark.createDataFrame([], EMPTY), frame(spark, items, "item_id long, text string")).collect() == []
 
 
+
+@pytest.mark.parametrize("sent", [0, 1000])
+def test_words_of_documents_are_stored_as_one_string(spark, monkeypatch, sent):
+    """Readers hold thousands of rows at a time; arrays of words take many times a text's bytes there."""
+    kept = []
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name="table", f=decontaminate.stored: kept.append(f(df, name)) or kept[-1])
+    docs = [(1, "A b,, c  " + prose(3, 400)), (2, None), (3, " .,"), (4, "\x00x\x1fy\x7fz "), (None, "Zwölf ß 12")]
+    found = decontaminate.contamination(frame(spark, docs), frame(spark, [(1, "zwölf, ß"), (2, "x y z")], "item_id long, text string"), sent=sent)
+    assert {(r.doc_id, r.n_words, r.n_hit) for r in found.collect()} == {(1, 403, 0), (2, 0, 0), (3, 0, 0), (4, 3, 3), (None, 3, 2)}
+    assert dict(kept[0].dtypes) == {"row": "bigint", "doc_id": "bigint", "w": "string", "n_words": "bigint"}
+    assert {r.w for r in kept[0].where("doc_id > 1 or doc_id is null").collect()} == {"", "x y z", "zwölf ß 12"}
+
 # op10
 SECRET = [("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 12),
           ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16)]
