@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from contextlib import contextmanager
@@ -50,6 +51,21 @@ def restored(df: DataFrame, name: str = "table") -> DataFrame:
     return df
 
 
+def let_go(df: DataFrame) -> None:
+    """Delete a table that ``stored`` gave: nothing that is still to be computed may need it."""
+    at = next(iter(df.inputFiles()), "")
+    for top in [t for t in _made if f"/{t.rpartition('/')[2]}/" in at]:
+        _made.remove(top)
+        _delete(df.sparkSession, top)
+
+
+def freed(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files that nothing needs any more. It does so when
+    the driver collects its garbage, which without this may be after the whole job."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def temporary(spark: SparkSession):
     """Tables stored inside are deleted at the end, but for the one given to what this

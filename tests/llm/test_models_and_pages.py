@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -324,6 +325,55 @@ def test_no_shard_holds_more_than_three_blocks(spark):
     assert len(visits) == 900 and all(sorted(v) == sorted(nodes) for v in visits.values())
 
 
+def test_vectors_take_little_disk(spark, monkeypatch):
+    """What is stored at a time is at most a few copies of the vectors, however many cells
+    they visit, and they are sent there in more than one round."""
+    r = np.random.default_rng(6)
+    x = r.standard_normal((3000, 16)).astype(np.float32)
+    x[2000:] = x[:1000] + 0.05 * r.standard_normal((1000, 16))
+    real, held, most = vectors.stored, {}, []
+
+    def measured(df, name="table"):
+        out = real(df, name)
+        top = out.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+        held[top] = sum(f.stat().st_size for f in Path(top).glob("*.parquet"))
+        most.append(sum(n for t, n in held.items() if Path(t).exists()))
+        return out
+
+    sent = []
+    dealt = vectors.dealt
+    monkeypatch.setattr(vectors, "dealt", lambda *a: sent.append(dealt(*a)) or sent[-1])
+    monkeypatch.setattr(vectors, "stored", measured)
+    monkeypatch.setattr(vectors, "ROUND", 1, raising=False)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {g.vec_id: g for g in vectors.near_vectors(df, block=50, cell=50).collect()}
+    assert max(most) <= 5 * x.nbytes
+    assert len(sent) > 1 and got[0].recall == 1
+    u = x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    want = (u @ u.T >= 0.95).sum(1) - 1
+    found = np.array([got[k].n_links for k in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.99 * want.sum() > 1000
+
+
+@pytest.mark.parametrize("deviations, least", [(2.5, 0.98), (float("inf"), 1)])
+def test_one_of_two_linked_vectors_visits_the_other(spark, deviations, least):
+    r = np.random.default_rng(7)
+    x = r.standard_normal((400, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = r.standard_normal(x.shape)
+    off -= (off * x).sum(1, keepdims=True) * x
+    y = 0.951 * x + (1 - 0.951 ** 2) ** 0.5 * off / np.linalg.norm(off, axis=1, keepdims=True)
+    both = np.concatenate([x, y]).astype(np.float32)
+    c = {16 * 8: r.standard_normal((60, 16))}
+    c[16 * 8] /= np.linalg.norm(c[16 * 8], axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in enumerate(both)], "cid long, v binary")
+    got = {g.cid: g for g in vectors.assigned(nodes, c, 0.95, deviations, "f4").collect()}
+    assert len(got) == 800 and all(g.at in g.visits for g in got.values())
+    met = [got[k].at in got[k + 400].visits or got[k + 400].at in got[k].visits for k in range(400)]
+    assert np.mean(met) >= least
+    assert np.mean([got[k].at == got[k + 400].at for k in range(400)]) < 0.9
+
+
 # pipeline
 def test_pipeline(spark, tmp_path):
     rows, labels = labelled(200)
